@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions.clean import cnpj14
-from garimpo.llm import addresses
+from garimpo.llm import addresses, leakage
 from garimpo.plans.problems import anp_ok
 from garimpo.plans.tables import table
 
@@ -16,5 +16,15 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return addresses.same_location(rows, "__cnpj", ["estado_sigla", "municipio"], "nome_da_rua", "numero_rua", "complemento").select(F.col("a").alias("cnpj_a"), F.col("b").alias("cnpj_b"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found,)}
+def p7_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every candidate pair that shares enough words, with the share of the item it holds."""
+    found = leakage.scores(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_itens"), "item_id", "texto")
+    return found.select("doc_id", "item_id", F.round("coberto", 6).alias("coberto"), F.round("proprio", 6).alias("proprio"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_itens"), "item_id", "texto")
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_scores)}
 ORACLES: dict[str, str] = {}
