@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions.clean import cnpj14
-from garimpo.llm import addresses, leakage
+from garimpo.llm import addresses, langid, leakage
 from garimpo.plans.problems import anp_ok
 from garimpo.plans.tables import table
 
@@ -26,5 +26,27 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_itens"), "item_id", "texto")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_scores)}
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return langid.stretches(docs, "doc_id", "text", "lang", langid.fit(docs, "doc_id", "text", "lang"))
+
+
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Each stretch of each document with its language and confidence."""
+    return _languages(spark, d).select("doc_id", F.explode("trechos").alias("t")).select("doc_id", "t.inicio", "t.fim", "t.lang", F.round("t.confianca", 4).alias("confianca"))
+
+
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    return _languages(spark, d).select("doc_id", "rotulo", "lang", F.round("confianca", 4).alias("confianca"), F.size("trechos").alias("trechos"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    found = _languages(spark, d).filter(F.col("lang").isNotNull())
+    wrong = F.when(~F.col("nomeia").eqNullSafe(F.col("lang")), F.array(F.struct(F.lit(-1).alias("inicio"), F.col("lang").alias("lang"))))
+    several = F.when(F.size("trechos") > 1, F.transform("trechos", lambda t: F.struct(t["inicio"].alias("inicio"), t["lang"].alias("lang"))))
+    none = F.array().cast("array<struct<inicio:int,lang:string>>")
+    return found.select("doc_id", F.explode(F.concat(F.coalesce(wrong, none), F.coalesce(several, none))).alias("t")).select("doc_id", "t.inicio", "t.lang").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_scores, p9_found, p9_segments, p9_documents)}
 ORACLES: dict[str, str] = {}
