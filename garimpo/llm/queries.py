@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions.clean import cnpj14
-from garimpo.llm import addresses, langid, leakage
+from garimpo.llm import addresses, langid, leakage, mixing
 from garimpo.plans.problems import anp_ok
 from garimpo.plans.tables import table
 
@@ -48,5 +48,19 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.explode(F.concat(F.coalesce(wrong, none), F.coalesce(several, none))).alias("t")).select("doc_id", "t.inicio", "t.lang").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_scores, p9_found, p9_segments, p9_documents)}
+def _mix(spark: SparkSession, d: str) -> mixing.Plan:
+    return mixing.plan(table(spark, d, "documents"), "doc_id", "text", "source", table(spark, d, "mix_alvos"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The mix itself: which tokens of which document, how often."""
+    return mixing.select(_mix(spark, d))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual shares."""
+    return mixing.shares(_mix(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_scores, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)}
 ORACLES: dict[str, str] = {}
