@@ -237,7 +237,8 @@ def variants(token):
 
 def locations(df: DataFrame, owner: str, town: list[str], street: str, number: str, unit: str, unit_veto: bool = False) -> DataFrame:
     """(owner, component) of the owners that share a location with another one; an owner may be in several."""
-    raw = df.filter(F.col(owner).isNotNull()).select(F.col(owner).alias("owner"), *(F.col(c).alias(f"t{k}") for k, c in enumerate(town)), F.col(street).alias("s"), F.col(number).alias("n"), F.col(unit).alias("u")).distinct()
+    # written out: else the optimizer takes this distinct for redundant and every row is parsed
+    raw = cut(df.filter(F.col(owner).isNotNull()).select(F.col(owner).alias("owner"), *(F.col(c).alias(f"t{k}") for k, c in enumerate(town)), F.col(street).alias("s"), F.col(number).alias("n"), F.col(unit).alias("u")).distinct(), "writings")
     texts = raw.select("owner", F.concat_ws("|", *(town_key(F.col(f"t{k}")) for k in range(len(town)))).alias("town"), F.col(f"t{len(town) - 1}").alias("last"), parsed("s", "n", "u").alias("p"))
     unit_part = F.col("p.unit") if unit_veto else F.lit("")
     known = cut(
