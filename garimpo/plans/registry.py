@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from garimpo.plans import problems, problems_sql
+from garimpo.plans import catalog, problems, problems_sql, relational  # noqa: F401
 
 
 def queries() -> dict:
-    return dict(problems.QUERIES)
+    return problems.QUERIES | catalog.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(problems_sql.ORACLES)
+    return problems_sql.ORACLES | catalog.ORACLES
