@@ -103,31 +103,33 @@ def runs(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def limits(readings: DataFrame, source: list[str], date: str, value: str, p: Chart = Chart()) -> DataFrame:
-    """(source, date, usual, run, lowest, highest) for the dates that break a limit."""
-    points = readings.filter(F.col(date).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    for c in source:
-        points = points.filter(F.col(c).isNotNull())
-    daily = points.groupBy(*source, date).agg(F.min(F.col(value).cast("double")).alias("lo"), F.max(F.col(value).cast("double")).alias("hi"))
-    series = daily.groupBy(*source).agg(F.array_sort(F.collect_list(F.struct(F.col(date).alias("d"), "lo", "hi"))).alias("s"))
+    """(__k0.., __d, __lo, __hi, __usual, __run) for the sources and dates that break a limit."""
+    keys = [f"__k{n}" for n in range(len(source))]  # names of our own: the readings may have any
+    points = readings.select(*(F.col(c).alias(k) for c, k in zip(source, keys)), F.col(date).alias("__d"), F.col(value).cast("double").alias("__v"))
+    points = points.filter(F.col("__d").isNotNull() & F.col("__v").isNotNull() & ~F.isnan("__v")).dropna(subset=keys)
+    daily = points.groupBy(*keys, "__d").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    series = daily.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__d", "__lo", "__hi"))).alias("__s"))
 
     @F.pandas_udf("array<struct<usual:double,run:int>>")
     def chart(lows: pd.Series, highs: pd.Series) -> pd.Series:
         pairs = [(np.asarray(a, float), np.asarray(b, float)) for a, b in zip(lows, highs)]
         return pd.Series([[{"usual": float(u), "run": int(r)} for u, r in zip(us, runs(*pair))] for us, pair in zip(usual(pairs, p), pairs)], dtype=object)
 
-    judged = series.withColumn("j", chart(F.col("s.lo"), F.col("s.hi")))
-    flat = judged.select(*source, F.explode(F.arrays_zip("s", "j")).alias("x")).select(*source, F.col("x.s.d").alias(date), F.col("x.s.lo").alias("lowest"), F.col("x.s.hi").alias("highest"), F.col("x.j.usual").alias("usual"), F.col("x.j.run").alias("run"))
-    far = ~F.isnan("usual") & ((F.col("lowest") < F.col("usual") * (1 - p.tolerance)) | (F.col("highest") > F.col("usual") * (1 + p.tolerance)))
-    return flat.filter(far | (F.col("run") >= p.run))
+    judged = series.withColumn("__j", chart(F.col("__s.__lo"), F.col("__s.__hi")))
+    flat = judged.select(*keys, F.explode(F.arrays_zip("__s", "__j")).alias("x")).select(*keys, F.col("x.__s.__d").alias("__d"), F.col("x.__s.__lo").alias("__lo"), F.col("x.__s.__hi").alias("__hi"), F.col("x.__j.usual").alias("__usual"), F.col("x.__j.run").alias("__run"))
+    far = ~F.isnan("__usual") & ((F.col("__lo") < F.col("__usual") * (1 - p.tolerance)) | (F.col("__hi") > F.col("__usual") * (1 + p.tolerance)))
+    return flat.filter(far | (F.col("__run") >= p.run))
 
 
 def flag(readings: DataFrame, source: list[str], date: str, value: str, p: Chart = Chart()) -> DataFrame:
-    """The offending rows with ``motivo`` (impossivel, salto, parado) and the usual value."""
+    """The offending rows with ``motivo`` (impossivel, salto, parado) and the ``usual`` value; columns of these two names are replaced."""
     broken = limits(readings, source, date, value, p)
     v = F.col(value).cast("double")
+    keep = [c for c in readings.columns if c not in ("usual", "motivo")]
     # impossible values need no company; the others meet their source's limits
-    impossible = readings.filter(v <= p.floor).withColumn("usual", F.lit(None).cast("double")).withColumn("motivo", F.lit("impossivel"))
-    rest = readings.filter(v > p.floor).join(broken, [*source, date])
-    far = ~F.isnan("usual") & (F.abs(v - F.col("usual")) > p.tolerance * F.abs(F.col("usual")))
-    rest = rest.withColumn("motivo", F.when(far, "salto").when(F.col("run") >= p.run, "parado")).filter(F.col("motivo").isNotNull())
-    return rest.select(*readings.columns, "usual", "motivo").unionByName(impossible.select(*readings.columns, "usual", "motivo"))
+    impossible = readings.filter(v <= p.floor).select(*keep, F.lit(None).cast("double").alias("usual"), F.lit("impossivel").alias("motivo"))
+    same = [F.col(c) == F.col(f"__k{n}") for n, c in enumerate(source)] + [F.col(date) == F.col("__d")]
+    rest = readings.filter(v > p.floor).join(broken, same)
+    far = ~F.isnan("__usual") & (F.abs(v - F.col("__usual")) > p.tolerance * F.abs(F.col("__usual")))
+    why = F.when(far, "salto").when(F.col("__run") >= p.run, "parado")
+    return rest.select(*keep, F.col("__usual").alias("usual"), why.alias("motivo")).filter(F.col("motivo").isNotNull()).unionByName(impossible)

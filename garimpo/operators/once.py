@@ -44,7 +44,7 @@ class SeenState:
 
     def dictionary(self) -> DataFrame:
         t = self.versions.table("dictionary")
-        return self.spark.createDataFrame([], "id string, shard int, code bigint") if t is None else t
+        return self.spark.createDataFrame([], "id string, shard int, code bigint") if t is None else t.select("id", "shard", "code")
 
     def bitmaps(self) -> DataFrame:
         t = self.versions.table("bitmaps")

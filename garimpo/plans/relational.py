@@ -407,13 +407,13 @@ def scd2(t):
 
 @query(
     "w05_lag_change",
-    """select p_brand, semana, round(media, 2) as media, round(100 * (media - lag(media) over w) / nullif(lag(media) over w, 0), 4) as variacao from
+    """select p_brand, semana, round(media, 6) as media, round(100 * (media - lag(media) over w) / nullif(lag(media) over w, 0), 4) as variacao from
        (select p_brand, cast(date_trunc('month', l_shipdate) as date) as semana, avg(l_extendedprice) as media from lineitem join part on l_partkey = p_partkey group by 1, 2) window w as (partition by p_brand order by semana)""",
 )
 def lag_change(t):
     m = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", F.date_trunc("month", "l_shipdate").cast("date").alias("semana")).agg(F.avg("l_extendedprice").alias("media"))
     before = F.lag("media").over(Window.partitionBy("p_brand").orderBy("semana"))
-    return m.select("p_brand", "semana", F.round("media", 2).alias("media"), F.round(100 * (F.col("media") - before) / F.nullif(before, F.lit(0.0)), 4).alias("variacao"))
+    return m.select("p_brand", "semana", F.round("media", 6).alias("media"), F.round(100 * (F.col("media") - before) / F.nullif(before, F.lit(0.0)), 4).alias("variacao"))
 
 
 @query(
