@@ -7,8 +7,8 @@ import unicodedata
 
 _WORD = re.compile(r"[a-z0-9]+")
 _HYPHEN = re.compile(r"(?<=\w)[-‐‑­]\s*\n\s*(?=\w)")
-_INVISIBLE = re.compile("[­​-‏⁠﻿]")
-_BROKEN = re.compile("[ÂÃ][-¿ŒœŠšŽžŸƒˆ˜–—‘’‚“”„†‡•…‰‹›€™]")
+_INVISIBLE = re.compile(r"[­​-‏⁠﻿]")
+_BROKEN = re.compile(r"[ÂÃ][\u0080-¿ŒœŠšŸŽžƒˆ˜–—‘-„†-•…‰‹›€™]")
 
 
 def mend(text: str) -> str:
