@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What may stand around a value without meaning.
-BLANKS = r"^[\s ]+|[\s ]+$"
+BLANKS = r"^[\s\u00A0]+|[\s\u00A0]+$"
 
 
 def strip(c: Column) -> Column:
