@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from garimpo.plans import catalog, problems, problems_sql, relational, scalars  # noqa: F401
+from garimpo.plans import catalog, problems, problems_sql, relational, scalars, warehouse  # noqa: F401
 
 
 def queries() -> dict:

@@ -13,7 +13,7 @@ from garimpo.functions import clean, keys, text
 from garimpo.plans.catalog import query
 
 # fixed values: products and their ids
-PRODUCTS = {"GASOLINA": 1, "GASOLINA ADITIVADA": 2, "GASOLINA C ESPECIAL": 3, "ETANOL": 4, "DIESEL": 5, "DIESEL S10": 6, "GNV": 7, "GLP": 8}
+PRODUCTS = {"GASOLINA": 1, "ETANOL": 2, "DIESEL": 3, "DIESEL S10": 4, "GNV": 5, "GASOLINA ADITIVADA": 6, "DIESEL S50": 7, "GLP": 8}
 # fixed values: longest text a registry column may hold before its row counts as shifted
 LIMITS = {"cnpj_basico": 8, "cnpj_ordem": 4, "cnpj_dv": 2, "cep": 8, "uf": 2, "ddd_1": 4, "telefone_1": 12, "cnae_fiscal_principal": 7}
 
