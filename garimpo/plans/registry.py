@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from garimpo.plans import catalog, problems, problems_sql, quality, relational, scalars, serving, warehouse  # noqa: F401
+from garimpo.plans import catalog, problems, problems_sql, quality, relational, scalars, serving, texts, warehouse  # noqa: F401
 
 
 def queries() -> dict:
