@@ -88,7 +88,7 @@ class Settings:
     buckets: int = 1 << 16
     size: int = 16
     orders: tuple[int, ...] = (3, 4)
-    epochs: int = 8
+    epochs: int = 6
     rate: float = 0.5
     #: sentences in a step
     batch: int = 64

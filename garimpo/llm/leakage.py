@@ -36,6 +36,8 @@ class Leak:
     least: float = 0.45
     #: share of the item's words below which a pair is not aligned (a bound on ``least`` after small alterations)
     common: float = 0.3
+    #: share of the item's rare words that the document must have at all
+    rare: float = 0.15
     #: share of the rare words within the aligned stretches that must be matched
     own: float = 0.4
     #: words a second stretch needs
@@ -109,7 +111,9 @@ class Items:
             return c
 
         theirs = np.array([c for a, b in keep for c in (*map(code, w[a:b]), -2)], dtype=np.int32)
-        if len(set(theirs[theirs >= 0].tolist())) < self.p.common * len(own):
+        present = set(theirs[theirs >= 0].tolist())
+        rare_codes = {number[x] for x in self.rare[item]}
+        if len(present) < self.p.common * len(own) or len(present & rare_codes) < self.p.rare * len(rare_codes):
             return 0.0, 0.0
         ours = np.array([number[x] for x in mine], dtype=np.int32)
         matched, spans = stretches(ours, theirs, self.p.stretch)
