@@ -271,7 +271,7 @@ def judge(texts: list[str | None], model: Model, table: np.ndarray) -> list[list
         if not none.all():
             score[none] *= 0.25  # little weight: such sentences follow their neighbours
         score[empty[at - n : at]] = 0
-        score *= np.minimum(size / 40, 1.0)[:, None]  # a few letters are little evidence
+        score *= np.minimum(size / 60, 1.0)[:, None]  # a few letters are little evidence
         chosen = path(score, p.change)
         stretches, k = [], 0
         while k < n:
