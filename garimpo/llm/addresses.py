@@ -190,7 +190,7 @@ def assignment(a: list[str], b: list[str]) -> int | None:
         for used, cost in best.items():
             for j, y in enumerate(b):
                 if not used >> j & 1:
-                    most = min(edits(x), edits(y))
+                    most = 0 if x in MONTHS and y in MONTHS else min(edits(x), edits(y))  # July is no misspelt June
                     d = osa(x, y, most)
                     if d <= most and cost + d < step.get(used | 1 << j, 99):
                         step[used | 1 << j] = cost + d

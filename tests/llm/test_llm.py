@@ -48,6 +48,11 @@ def test_assignment_is_exact():
         assert addresses.assignment(a, b) == (min(costs) if costs else None)
 
 
+def test_months_are_not_misspelt_months():
+    assert not addresses.same_name(["9", "JULHO"], ["9", "JUNHO"]) and not addresses.same_name(["8", "SETEMBRO"], ["8", "DEZEMBRO"])
+    assert addresses.same_name(["8", "SETEMBRO"], ["8", "SETMEBRO"])
+
+
 def test_same_location(spark):
     data = [
         ("A", "SP", "CIDADE", "RUA FEBIZAR DE RARANHO", "354", ""),
