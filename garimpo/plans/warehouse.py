@@ -12,6 +12,7 @@ from garimpo.operators.latest import latest_per_key
 from garimpo.operators.upsert import keyed_upsert, replace_groups, snapshot, versions_from_history
 from garimpo.plans.catalog import query
 from garimpo.plans.scalars import PRODUCTS, product_id
+from garimpo.workspace import cut
 
 # --- fuel prices ---------------------------------------------------------------------------------------------------------
 
@@ -45,6 +46,11 @@ def silver(t) -> DataFrame:
     return latest_per_key(anp_clean(t.anp_landing_semanal), ["chave"], [F.desc("ingestion_timestamp"), F.desc("arquivo"), F.desc("linha_id")])
 
 
+def stored_silver(t) -> DataFrame:
+    """Silver as a written table (what serving reads): fact and dimensions share one scan and one deduplication of the landing rows."""
+    return cut(silver(t).drop("regiao_sigla", "valor_compra", "arquivo", "complemento"), "silver")
+
+
 def stations(s: DataFrame) -> DataFrame:
     rows = s.filter(F.col("cnpj").isNotNull()).select("cnpj", "revenda", "bandeira", "estado_sigla", "municipio", "bairro", "cep", "nome_da_rua", "numero_rua", "data_coleta", "linha_id")
     return latest_per_key(rows, ["cnpj"], [F.desc_nulls_last("data_coleta"), F.desc("linha_id")]).withColumn("id_posto_sk", F.md5("cnpj"))
@@ -59,7 +65,7 @@ def price_fact(s: DataFrame) -> DataFrame:
 
 
 def star(t) -> DataFrame:
-    s = silver(t)
+    s = stored_silver(t)
     return price_fact(s).join(stations(s).select("id_posto_sk", "cnpj", "revenda", "bandeira", "estado_sigla", "municipio", "bairro", "nome_da_rua", "numero_rua"), "id_posto_sk").join(products(s), "id_produto_sk")
 
 
@@ -129,7 +135,7 @@ def current_mart(t):
 
 def current(t) -> DataFrame:
     """Latest price of each station and product with the one before: dimensions are joined after the fact is one row per key."""
-    s = silver(t)
+    s = stored_silver(t)
     w = Window.partitionBy("id_posto_sk", "id_produto_sk").orderBy(F.desc_nulls_last("data_coleta"), "id_fato")
     ranked = price_fact(s).select("id_posto_sk", "id_produto_sk", "data_coleta", "valor_venda", F.row_number().over(w).alias("rn"))
     pick = lambda c, n: F.max(F.when(F.col("rn") == n, F.col(c)))

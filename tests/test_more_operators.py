@@ -190,3 +190,41 @@ def test_reply_and_budget():
     kept, dropped = retrieval.assemble([{"art_id": "a", "formas": ["x " * 9]}, {"art_id": "b", "formas": ["x " * 50, "x x"]}], ["b"], 5, lambda t: len(t.split()))
     assert [k["art_id"] for k in kept] == ["b"] and dropped == ["a"]
     assert retrieval.pages("a b c", 2) == ["a b", "c"] and retrieval.pages("") == [""]
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_cells_recall(spark, folder):
+    import os
+
+    import numpy as np
+
+    from garimpo.operators import ivf
+
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    v = spark.read.parquet(f"{folder}/embeddings.parquet")
+    c = ivf.fit(v, "embedding")
+    q = v.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("v"))
+    indexed = ivf.index(v, "embedding", c)
+    assert indexed.count() == v.count()
+    got = {}
+    for r in ivf.search(indexed, "vec_id", "embedding", q, c).collect():
+        got.setdefault(r.q, set()).add(r.id)
+    rows_ = v.collect()
+    ids, x = np.array([r.vec_id for r in rows_]), np.array([r.embedding for r in rows_], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = total = 0
+    for k in np.flatnonzero(ids % 50 == 0):
+        want = set(ids[np.lexsort((ids, -(x @ x[k])))[:10]].tolist())
+        hit, total = hit + len(want & got[ids[k]]), total + len(want)
+    assert hit / total >= 0.9, hit / total
+
+
+def test_cells_edges(spark):
+    from garimpo.operators import ivf
+
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [1.0, 0.0])], "vec_id int, embedding array<float>")
+    c = ivf.fit(v, "embedding", cells=8)
+    found = ivf.search(ivf.index(v, "embedding", c), "vec_id", "embedding", v.filter("vec_id = 1").select(F.col("vec_id").alias("q"), F.col("embedding").alias("v")), c, k=2)
+    assert [(r.id, r.posicao) for r in found.orderBy("posicao").collect()] == [(1, 1), (4, 2)]
+    assert ivf.index(v.limit(0), "embedding", ivf.fit(v.limit(0), "embedding")).count() == 0
