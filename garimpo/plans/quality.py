@@ -7,9 +7,10 @@ from pyspark.sql.window import Window
 
 from garimpo.functions import keys
 from garimpo.operators import quality as q
+from garimpo.operators import shred
 from garimpo.plans.catalog import query
 from garimpo.plans.scalars import MOD11_SQL
-from garimpo.plans.warehouse import CLEAN_SQL, CURRENT_XML, ITEMS_SQL, headers, items, price_fact, silver, stations, tag
+from garimpo.plans.warehouse import CLEAN_SQL, CURRENT_XML, ITEMS_SQL, headers, items, price_fact, shredded, silver, stations, tag
 
 
 @query("d01_not_null", "select linha_id from rfb_dominios where descricao is null")
@@ -76,11 +77,7 @@ def cnpj(t):
     f"select chave, n from (select chave, cast(regexp_extract(x, 'nItem=\"([0-9]+)\"', 1) as int) as n, {tag('CST', 'i')} as cst, {tag('cClassTrib', 'i')} as c from (select chave, x, regexp_extract(x, '(?s)<(?:n:)?IBSCBS>.*</(?:n:)?IBSCBS>') as i from (select chave, unnest(regexp_extract_all(conteudo, '(?s)<(?:n:)?det .*?</(?:n:)?det>')) as x from {CURRENT_XML}))) where left(c, 3) <> cst",
 )
 def class_prefix(t):
-    from garimpo.operators import shred
-    from garimpo.plans.warehouse import current_invoices
-
-    found = shred.shred(current_invoices(t), ["chave"], "conteudo")
-    rows = shred.flat_table(found, ["chave"], "det", {"n": "@nItem", "cst": "imposto.IBSCBS.CST", "c": "imposto.IBSCBS.cClassTrib"})
+    rows = shred.flat_table(shredded(t), ["chave"], "det", {"n": "@nItem", "cst": "imposto.IBSCBS.CST", "c": "imposto.IBSCBS.cClassTrib"})
     return rows.filter(F.left("c", F.lit(3)) != F.col("cst")).select("chave", F.col("n").cast("int").alias("n"))
 
 
@@ -105,8 +102,9 @@ def covers(t):
     f"select chave, v as esquerda, s as direita from (select chave, sum(vprod) as s from {ITEMS_SQL} group by 1) join (select chave, cast({tag('vNF')} as decimal(15, 2)) as v from {CURRENT_XML}) using (chave) where v <> s",
 )
 def header_items(t):
-    h = headers(t).select("chave", F.col("v_nf").cast("decimal(15,2)").alias("valor"))
-    s = items(t).groupBy("chave").agg(F.sum("vprod").cast("decimal(18,2)").alias("valor"))
+    found = shredded(t)
+    h = headers(t, found).select("chave", F.col("v_nf").cast("decimal(15,2)").alias("valor"))
+    s = items(t, found).groupBy("chave").agg(F.sum("vprod").cast("decimal(18,2)").alias("valor"))
     return q.reconcile(h, s, ["chave"]).filter("esquerda is not null and direita is not null")
 
 

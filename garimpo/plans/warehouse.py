@@ -233,14 +233,17 @@ HEADER = {"c_uf": "ide.cUF", "nat_op": "ide.natOp", "n_nf": "ide.nNF", "dh_emiss
 ITEM = {"n_item": "@nItem", "cprod": "prod.cProd", "ncm": "prod.NCM", "cfop": "prod.CFOP", "vprod": "prod.vProd", "cst_ibscbs": "imposto.IBSCBS.CST", "v_ibs": "imposto.IBSCBS.gIBSCBS.vIBS", "v_cbs": "imposto.IBSCBS.gIBSCBS.gCBS.vCBS", "vbc": "imposto.IBSCBS.gIBSCBS.vBC"}
 
 
-def headers(t) -> DataFrame:
-    found = shred.shred(current_invoices(t), ["chave", "lote_id", "carregado_em"], "conteudo")
-    return shred.flat_table(found, ["chave", "lote_id", "carregado_em"], "infNFe", HEADER)
+def shredded(t) -> DataFrame:
+    """The current invoices, parsed once and written: headers, items and marts are plain reads of it."""
+    return cut(shred.shred(current_invoices(t), ["chave", "lote_id"], "conteudo").filter("grupo in ('infNFe', 'det')"), "invoices")
 
 
-def items(t) -> DataFrame:
-    found = shred.shred(current_invoices(t), ["chave", "lote_id"], "conteudo")
-    rows = shred.flat_table(found, ["chave", "lote_id"], "det", ITEM)
+def headers(t, found: DataFrame | None = None) -> DataFrame:
+    return shred.flat_table(shredded(t) if found is None else found, ["chave", "lote_id"], "infNFe", HEADER)
+
+
+def items(t, found: DataFrame | None = None) -> DataFrame:
+    rows = shred.flat_table(shredded(t) if found is None else found, ["chave", "lote_id"], "det", ITEM)
     money = lambda c: F.col(c).cast("decimal(15,2)").alias(c)
     return rows.select("chave", "lote_id", F.col("n_item").cast("int").alias("n_item"), "cprod", "ncm", "cfop", "cst_ibscbs", *(money(c) for c in ("vprod", "v_ibs", "v_cbs", "vbc")))
 
@@ -282,8 +285,9 @@ def monthly(rows: DataFrame) -> DataFrame:
 )
 def monthly_mart(t):
     """Only the months that the newest batch touches are recomputed; the others keep their rows."""
-    h = headers(t).select("chave", "lote_id", "c_uf", F.date_format(F.from_utc_timestamp(F.col("dh_emissao").cast("timestamp"), "America/Sao_Paulo"), "yyyyMM").cast("int").alias("ano_mes"))
-    rows = items(t).drop("lote_id").join(h, "chave")
+    found = shredded(t)
+    h = headers(t, found).select("chave", "lote_id", "c_uf", F.date_format(F.from_utc_timestamp(F.col("dh_emissao").cast("timestamp"), "America/Sao_Paulo"), "yyyyMM").cast("int").alias("ano_mes"))
+    rows = cut(items(t, found).drop("lote_id").join(h, "chave"), "invoice-items")
     newest = h.agg(F.max("lote_id").alias("lote_id"))
     affected = h.join(F.broadcast(newest), "lote_id", "left_semi").select("ano_mes")
     return replace_groups(monthly(rows), rows, affected, ["ano_mes"], monthly)
