@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from garimpo.llm.texts import fold, mend
 
@@ -201,12 +202,13 @@ def fit(docs: DataFrame, doc_id: str, text: str, lang: str, p: Settings = Settin
     """Train on at most ``sample`` documents of each label, chosen by a hash of their text."""
     named = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.lower(F.trim(lang)).alias("l"), F.col(text).alias("t"))
     spellings = sorted(r[0] for r in named.select("l").distinct().collect() if label(r[0]) in LANGUAGES)  # a list of label spellings
-    pairs: list[tuple[str, str]] = []
-    for language in LANGUAGES:
-        mine = [s for s in spellings if label(s) == language]
-        if mine:
-            rows = named.filter(F.col("l").isin(mine)).select("t").orderBy(F.xxhash64("t"), "t").limit(p.sample).collect()
-            pairs += [(r[0], language) for r in rows]
+    if not spellings:
+        return Model(p)
+    said = F.create_map(*(F.lit(x) for s in spellings for x in (s, label(s))))[F.col("l")]
+    # one scan for all languages; the window keeps at most ``sample`` rows of each before its shuffle
+    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("t"), "t"))
+    chosen = named.select("t", said.alias("y")).filter(F.col("y").isNotNull()).withColumn("k", rank).filter(F.col("k") <= p.sample)
+    pairs = sorted(((r["t"], r["y"]) for r in chosen.select("t", "y").collect()), key=lambda r: (LANGUAGES.index(r[1]), r[0]))
     whole = [mend(t) for t, _ in pairs]
     cleaned = [[plain(t[a:b]) for a, b in sentences(t)] for t in whole]
     seen: dict[str, int] = {}
