@@ -106,7 +106,9 @@ def limits(readings: DataFrame, source: list[str], date: str, value: str, p: Cha
     """(__k0.., __d, __lo, __hi, __usual, __run) for the sources and dates that break a limit."""
     keys = [f"__k{n}" for n in range(len(source))]  # names of our own: the readings may have any
     points = readings.select(*(F.col(c).alias(k) for c, k in zip(source, keys)), F.col(date).alias("__d"), F.col(value).cast("double").alias("__v"))
-    points = points.filter(F.col("__d").isNotNull() & F.col("__v").isNotNull() & ~F.isnan("__v")).dropna(subset=keys)
+    for c in [*keys, "__d", "__v"]:
+        points = points.filter(F.col(c).isNotNull())
+    points = points.filter(~F.isnan("__v"))
     daily = points.groupBy(*keys, "__d").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     series = daily.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__d", "__lo", "__hi"))).alias("__s"))
 

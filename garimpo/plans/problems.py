@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from garimpo.functions.clean import cnpj14, date_br, number_key, price, price_ok, strip
 from garimpo.operators import control_chart, once, orphans, rejects, shred
 from garimpo.plans.tables import table
+from garimpo.workspace import cut
 
 NFE_KEYS = ["lote_id", "arquivo"]
 
@@ -134,8 +135,12 @@ def anp_ok():
 
 
 def readings(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "anp_landing_semanal").filter(anp_ok())
-    return rows.select("linha_id", cnpj14(F.col("cnpj_da_revenda")).alias("cnpj"), F.upper(strip(F.col("produto"))).alias("produto"), date_br(F.col("data_da_coleta")).alias("dia"), price(F.col("valor_de_venda")).alias("valor")).filter(F.col("valor").isNotNull())
+    """The typed readings, written out: a price or date that is no case of p6 parses, so the nulls are what must not be judged.
+
+    The texts are parsed once, in one projection; both passes of the charts then read narrow typed columns."""
+    rows = table(spark, d, "anp_landing_semanal")
+    typed = rows.select("linha_id", cnpj14(F.col("cnpj_da_revenda")).alias("cnpj"), F.upper(strip(F.col("produto"))).alias("produto"), date_br(F.col("data_da_coleta")).alias("dia"), price(F.col("valor_de_venda")).alias("valor"))
+    return cut(typed, "readings").filter(F.col("valor").isNotNull() & F.col("dia").isNotNull())
 
 
 def p4_flags(spark: SparkSession, d: str) -> DataFrame:
