@@ -238,6 +238,9 @@ def fit(docs: DataFrame, doc_id: str, text: str, lang: str, p: Settings = Settin
 def path(logp: np.ndarray, change: float) -> np.ndarray:
     """The best sequence of languages: per-sentence scores with a cost for each change."""
     n, m = logp.shape
+    each = logp.argmax(1)
+    if (each == each[0]).all():
+        return each
     best = logp[0].copy()
     back = np.zeros((n, m), np.int64)
     for k in range(1, n):
