@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from garimpo.functions.clean import cnpj14, date_br, number_key, price, price_ok, strip
 from garimpo.operators import control_chart, once, orphans, rejects, shred
 from garimpo.plans.tables import table
-from garimpo.workspace import cut
+from garimpo.workspace import cut, fresh
 
 NFE_KEYS = ["lote_id", "arquivo"]
 
@@ -82,11 +82,18 @@ def _references(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*orphans.REFERENCE, "carga")
 
 
+def _by_load(df: DataFrame, name: str) -> DataFrame:
+    """Written in partitions by load, so that a load's batch reads its own rows only."""
+    path = fresh(df.sparkSession, name)
+    df.write.partitionBy("carga").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def orphan_state(spark: SparkSession, d: str) -> orphans.OrphanState:
     """All loads, replayed in the order of their months (a list as long as the history has months)."""
     state = orphans.OrphanState(spark)
-    parents, references = _parents(spark, d), _references(spark, d)
-    months = sorted({r[0] for t in ("rfb_empresas", "rfb_dominios", "rfb_estabelecimentos", "rfb_socios") for r in table(spark, d, t).select(_month()).distinct().collect()}, key=lambda m: (m is not None, m or 0))
+    parents, references = _by_load(_parents(spark, d), "parents"), _by_load(_references(spark, d), "references")
+    months = sorted({r[0] for t in (parents, references) for r in t.select("carga").distinct().collect()}, key=lambda m: (m is not None, m or 0))
     for month in months:
         same = F.col("carga").eqNullSafe(F.lit(month))
         state.apply(parents.filter(same).drop("carga"), references.filter(same).drop("carga"))
