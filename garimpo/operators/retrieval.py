@@ -43,6 +43,49 @@ def top_k(vectors: DataFrame, vector: str, id_: str, query: list[float], k: int,
     return rows.withColumn("distancia", cosine_distance(F.col(vector), query)).orderBy("distancia", id_).limit(k)
 
 
+def top_k_many(vectors: DataFrame, vector: str, id_: str, queries: DataFrame, k: int, block: int = 2000) -> DataFrame:
+    """Exact nearest rows of a stated query set: (q, id, semelhanca, posicao); a row is no neighbour of its own id.
+
+    queries: (q, v), read in blocks of ``block`` (the most that is held in memory and sent along), each block against all rows in one
+    pass of matrix products. A task keeps k rows per query and Arrow batch, the window prunes again before its shuffle."""
+    kind = vectors.select(id_).schema[0].dataType.simpleString()
+    out, held = None, []
+
+    def one(part: list) -> DataFrame:
+        ids = np.array([r[0] for r in part])
+        m = np.array([r[1] for r in part], np.float64)
+        m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+        shared = vectors.sparkSession.sparkContext.broadcast((ids, m))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            q, mine = shared.value
+            for b in batches:
+                b = b[b["v"].notna()]
+                if not len(b):
+                    continue
+                x = np.array(b["v"].tolist(), np.float64)
+                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+                near, other = mine @ x.T, b["i"].to_numpy()
+                near[q[:, None] == other[None, :]] = -np.inf
+                order = np.lexsort((np.broadcast_to(other, near.shape), -near), axis=1)[:, :k]
+                rows = np.repeat(np.arange(len(q)), order.shape[1])
+                found = pd.DataFrame({"q": q[rows], "id": other[order.ravel()], "semelhanca": near[rows, order.ravel()]})
+                yield found[np.isfinite(found["semelhanca"])]
+
+        return vectors.select(F.col(id_).alias("i"), F.col(vector).alias("v")).mapInPandas(run, f"q {kind}, id {kind}, semelhanca double")
+
+    for row in queries.select("q", "v").filter("v is not null").toLocalIterator():
+        held.append(row)
+        if len(held) == block:
+            out = one(held) if out is None else out.unionByName(one(held))
+            held = []
+    if held or out is None:
+        last = one(held) if held else vectors.sparkSession.createDataFrame([], f"q {kind}, id {kind}, semelhanca double")
+        out = last if out is None else out.unionByName(last)
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("semelhanca"), "id"))
+    return out.withColumn("posicao", rank).filter(F.col("posicao") <= k)
+
+
 def diversify(hits: DataFrame, rank: str, text: str, k: int, prefix: int = 80) -> DataFrame:
     """Of over-fetched hits the first of each text opening, then repeats to fill up to k. (hits: a top-k, small)"""
     rn = F.row_number().over(Window.partitionBy(F.substring(F.lower(text), 1, prefix)).orderBy(rank))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from garimpo.operators import ask, law, retrieval
 from garimpo.plans.catalog import query
@@ -235,26 +234,18 @@ def self_reference(t):
 
 @query(
     "a26_retrieval_metrics",
-    """with q as (select vec_id as q, embedding as e, label as l from embeddings where vec_id % 50 = 0), r as (select q.q, q.l, v.vec_id, v.label, row_number() over (partition by q.q order by list_cosine_similarity(v.embedding::double[], q.e::double[]) desc, v.vec_id) as rn from q join embeddings v on v.vec_id <> q.q),
-       m as (select q, count(*) filter (where label = l and rn <= 5) as f5, min(rn) filter (where label = l) as first, count(*) filter (where label = l) as n from r group by 1)
-       select round(avg((f5 > 0)::int), 6) as hit, round(avg(f5 / n), 6) as recall, round(avg(coalesce(1.0 / first, 0)), 6) as mrr, count(*) as n from m""",
+    """with q as (select vec_id as q, embedding as e, label as l from embeddings where vec_id % 50 = 0), r as (select q.q, q.l, v.label, row_number() over (partition by q.q order by list_cosine_similarity(v.embedding::double[], q.e::double[]) desc, v.vec_id) as rn from q join embeddings v on v.vec_id <> q.q),
+       m as (select q, count(*) filter (where label = l and rn <= 5) as f5, min(rn) filter (where label = l and rn <= 20) as first from r group by 1)
+       select round(avg((f5 > 0)::int), 6) as hit, round(avg(f5 / 5), 6) as precisao, round(avg(coalesce(1.0 / first, 0)), 6) as mrr, count(*) as n from m""",
 )
 def metrics(t):
     """Queries are the vectors whose id is divisible by 50, against all; relevant is the same label."""
-    q = t.embeddings.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e"), F.col("label").alias("l"))
-    dims = F.size("e")
-    cos = F.aggregate(F.zip_with("e", "embedding", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda c: F.sqrt(F.aggregate(F.col(c), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    pairs = t.embeddings.join(F.broadcast(q), F.col("vec_id") != F.col("q")).filter(dims > 0)  # a stated query set against all rows
-    scored = pairs.select("q", "l", "vec_id", "label", (cos / (norm("e") * norm("embedding"))).alias("s"))
-    # no list of all vectors per query: the top five by a pruned window, the first relevant rank by counting what lies before it
-    w = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id")
-    top = scored.withColumn("rn", F.row_number().over(w)).filter("rn <= 5").groupBy("q").agg(F.count_if(F.col("label") == F.col("l")).alias("f5"))
-    at = F.struct("s", (-F.col("vec_id")).alias("v"))
-    best = scored.filter("label = l").groupBy("q").agg(F.max(at).alias("best"), F.count(F.lit(1)).alias("n"))
-    first = scored.join(best, "q").filter(at >= F.col("best")).groupBy("q").agg(F.count(F.lit(1)).alias("primeiro"), F.max("n").alias("n"))
-    per = top.join(first, "q", "left")
-    return per.agg(F.round(F.avg((F.col("f5") > 0).cast("int")), 6).alias("hit"), F.round(F.avg(F.col("f5") / F.col("n")), 6).alias("recall"), F.round(F.avg(F.coalesce(F.lit(1.0) / F.col("primeiro"), F.lit(0.0))), 6).alias("mrr"), F.count(F.lit(1)).alias("n"))
+    q = t.embeddings.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("v"))
+    found = retrieval.top_k_many(t.embeddings, "embedding", "vec_id", q, 20)
+    label = lambda c, n: t.embeddings.select(F.col("vec_id").alias(c), F.col("label").alias(n))
+    both = found.join(label("id", "a"), "id").join(label("q", "b"), "q").withColumn("certo", F.col("a") == F.col("b"))
+    per = both.groupBy("q").agg(F.count_if(F.col("certo") & (F.col("posicao") <= 5)).alias("f5"), F.min(F.when(F.col("certo"), F.col("posicao"))).alias("primeiro"))
+    return per.agg(F.round(F.avg((F.col("f5") > 0).cast("int")), 6).alias("hit"), F.round(F.avg(F.col("f5") / 5), 6).alias("precisao"), F.round(F.avg(F.coalesce(F.lit(1.0) / F.col("primeiro"), F.lit(0.0))), 6).alias("mrr"), F.count(F.lit(1)).alias("n"))
 
 
 ANSWERS = [(True, False, ["a"], ["a", "b"], 1.0), (True, True, [], ["c"], 2.0), (False, True, [], [], 3.0), (False, False, ["x"], [], 10.0)]

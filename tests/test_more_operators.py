@@ -228,3 +228,15 @@ def test_cells_edges(spark):
     found = ivf.search(ivf.index(v, "embedding", c), "vec_id", "embedding", v.filter("vec_id = 1").select(F.col("vec_id").alias("q"), F.col("embedding").alias("v")), c, k=2)
     assert [(r.id, r.posicao) for r in found.orderBy("posicao").collect()] == [(1, 1), (4, 2)]
     assert ivf.index(v.limit(0), "embedding", ivf.fit(v.limit(0), "embedding")).count() == 0
+
+
+def test_top_k_many_in_blocks(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, None), (4, [0.0, 1.0]), (5, [1.0, 0.0])], "i int, e array<float>")
+    q = v.select(F.col("i").alias("q"), F.col("e").alias("v"))
+    want = {1: [5, 2], 2: [1, 5], 4: [2, 1], 5: [1, 2]}
+    for block in (1, 2, 100):
+        got = {}
+        for r in retrieval.top_k_many(v, "e", "i", q, 2, block).orderBy("posicao").collect():
+            got.setdefault(r.q, []).append(r.id)
+        assert got == want
+    assert retrieval.top_k_many(v, "e", "i", q.limit(0), 2).count() == 0
