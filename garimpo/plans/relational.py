@@ -14,25 +14,25 @@ from garimpo.plans.catalog import query
 @query(
     "a01_weekly_star_agg",
     """select cast(date_trunc('week', o_orderdate) as date) as semana, n_name, count(*) as qtd, count(distinct c_custkey) as clientes,
-       round(avg(o_totalprice), 4) as media, min(o_totalprice) as minimo, max(o_totalprice) as maximo, round(percentile_cont(0.5) within group (order by o_totalprice), 4) as mediana
+       round(avg(o_totalprice), 8) as media, min(o_totalprice) as minimo, max(o_totalprice) as maximo, round(percentile_cont(0.5) within group (order by o_totalprice), 8) as mediana
        from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by all""",
 )
 def weekly(t):
     star = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     price = F.col("o_totalprice")
     return star.groupBy(F.date_trunc("week", "o_orderdate").cast("date").alias("semana"), "n_name").agg(
-        F.count(F.lit(1)).alias("qtd"), F.countDistinct("c_custkey").alias("clientes"), F.round(F.avg(price), 4).alias("media"), F.min(price).alias("minimo"), F.max(price).alias("maximo"), F.round(F.percentile(price, 0.5), 4).alias("mediana")
+        F.count(F.lit(1)).alias("qtd"), F.countDistinct("c_custkey").alias("clientes"), F.round(F.avg(price), 8).alias("media"), F.min(price).alias("minimo"), F.max(price).alias("maximo"), F.round(F.percentile(price, 0.5), 8).alias("mediana")
     )
 
 
 @query(
     "a02_percentiles",
-    """select l_returnflag, round(percentile_cont(0.5) within group (order by l_extendedprice), 4) as p50, round(percentile_cont(0.95) within group (order by l_extendedprice), 4) as p95
+    """select l_returnflag, round(percentile_cont(0.5) within group (order by l_extendedprice), 8) as p50, round(percentile_cont(0.95) within group (order by l_extendedprice), 8) as p95
        from lineitem group by 1""",
 )
 def percentiles(t):
     p = F.percentile("l_extendedprice", F.array(F.lit(0.5), F.lit(0.95)))
-    return t.lineitem.groupBy("l_returnflag").agg(p.alias("p")).select("l_returnflag", F.round(F.col("p")[0], 4).alias("p50"), F.round(F.col("p")[1], 4).alias("p95"))
+    return t.lineitem.groupBy("l_returnflag").agg(p.alias("p")).select("l_returnflag", F.round(F.col("p")[0], 8).alias("p50"), F.round(F.col("p")[1], 8).alias("p95"))
 
 
 @query(
@@ -95,12 +95,12 @@ def exact_rollup(t):
 
 @query(
     "a11_kpi_fixed_order",
-    """select p_brand, round(avg(p_retailprice), 4) as media, min(p_retailprice) as minimo, max(p_retailprice) as maximo, count(distinct p_type) as tipos,
+    """select p_brand, round(avg(p_retailprice), 8) as media, min(p_retailprice) as minimo, max(p_retailprice) as maximo, count(distinct p_type) as tipos,
        case p_brand when 'Brand#1' then 1 when 'Brand#2' then 2 when 'Brand#3' then 3 else 1000000 end as ordem from part group by 1""",
 )
 def kpi(t):
     order = F.coalesce(F.create_map(*(F.lit(x) for pair in (("Brand#1", 1), ("Brand#2", 2), ("Brand#3", 3)) for x in pair))[F.col("p_brand")], F.lit(1000000))
-    return t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 4).alias("media"), F.min("p_retailprice").alias("minimo"), F.max("p_retailprice").alias("maximo"), F.countDistinct("p_type").alias("tipos")).withColumn("ordem", order).orderBy("ordem", "p_brand")
+    return t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 8).alias("media"), F.min("p_retailprice").alias("minimo"), F.max("p_retailprice").alias("maximo"), F.countDistinct("p_type").alias("tipos")).withColumn("ordem", order).orderBy("ordem", "p_brand")
 
 
 @query(
@@ -115,12 +115,12 @@ def mode(t):
 
 @query(
     "a13_pivot",
-    """select o_orderpriority, round(avg(o_totalprice) filter (where o_orderstatus = 'F'), 4) as "F", round(avg(o_totalprice) filter (where o_orderstatus = 'O'), 4) as "O",
-       round(avg(o_totalprice) filter (where o_orderstatus = 'P'), 4) as "P" from orders group by 1""",
+    """select o_orderpriority, round(avg(o_totalprice) filter (where o_orderstatus = 'F'), 8) as "F", round(avg(o_totalprice) filter (where o_orderstatus = 'O'), 8) as "O",
+       round(avg(o_totalprice) filter (where o_orderstatus = 'P'), 8) as "P" from orders group by 1""",
 )
 def pivot(t):
     wide = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.avg("o_totalprice"))
-    return wide.select("o_orderpriority", *(F.round(c, 4).alias(c) for c in ("F", "O", "P")))
+    return wide.select("o_orderpriority", *(F.round(c, 8).alias(c) for c in ("F", "O", "P")))
 
 
 @query(
@@ -176,7 +176,7 @@ DAILY = "select event_type, cast(ts as date) as dia, count(*) as n from events g
 @query(
     "a20_volume_baseline",
     f"""with d as ({DAILY}), r as (select *, row_number() over (partition by event_type order by dia desc) as rn from d)
-        select event_type, max(n) filter (where rn = 1) as ultimo, round(percentile_cont(0.5) within group (order by n) filter (where rn between 2 and 11), 4) as mediana from r group by 1""",
+        select event_type, max(n) filter (where rn = 1) as ultimo, round(percentile_cont(0.5) within group (order by n) filter (where rn between 2 and 11), 8) as mediana from r group by 1""",
 )
 def volume_baseline(t):
     daily = t.events.groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.count(F.lit(1)).alias("n"))
@@ -290,13 +290,13 @@ def cross_scalars(t):
 @query(
     "j10_lateral_agg",
     """select event_type, dia, n, m.mediana from (select *, row_number() over (partition by event_type order by dia desc) as rn from (select event_type, cast(ts as date) as dia, count(*) as n from events group by 1, 2)) a
-       left join lateral (select round(median(b.n), 4) as mediana from (select event_type, cast(ts as date) as dia, count(*) as n from events group by 1, 2) b where b.event_type = a.event_type and b.dia < a.dia and b.dia >= a.dia - 5) m on true where rn = 1""",
+       left join lateral (select round(median(b.n), 8) as mediana from (select event_type, cast(ts as date) as dia, count(*) as n from events group by 1, 2) b where b.event_type = a.event_type and b.dia < a.dia and b.dia >= a.dia - 5) m on true where rn = 1""",
 )
 def lateral_agg(t):
     daily = t.events.groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.count(F.lit(1)).alias("n"))
     day = F.unix_date("dia")
     w = Window.partitionBy("event_type").orderBy(day)
-    return daily.select("event_type", "dia", "n", F.round(F.percentile("n", 0.5).over(w.rangeBetween(-5, -1)), 4).alias("mediana"), F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("dia"))).alias("rn")).filter("rn = 1").drop("rn")
+    return daily.select("event_type", "dia", "n", F.round(F.percentile("n", 0.5).over(w.rangeBetween(-5, -1)), 8).alias("mediana"), F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("dia"))).alias("rn")).filter("rn = 1").drop("rn")
 
 
 @query("j11_json_each", "select k as chave, count(*) as n, sum(cast(json_extract_string(props, '$.' || k) as int)) as soma from (select props, unnest(json_keys(props)) as k from events) group by 1")
@@ -354,14 +354,14 @@ def scalar_subquery(t):
 
 @query(
     "j18_pivot_assembly",
-    """with m as (select c_nationkey, round(avg(o_totalprice) filter (where o_orderstatus = 'F'), 4) as f, round(avg(o_totalprice) filter (where o_orderstatus = 'O'), 4) as o from orders join customer on o_custkey = c_custkey group by 1),
-       g as (select n_regionkey, round(avg(o_totalprice), 4) as regiao from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1)
+    """with m as (select c_nationkey, round(avg(o_totalprice) filter (where o_orderstatus = 'F'), 8) as f, round(avg(o_totalprice) filter (where o_orderstatus = 'O'), 8) as o from orders join customer on o_custkey = c_custkey group by 1),
+       g as (select n_regionkey, round(avg(o_totalprice), 8) as regiao from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1)
        select n_name, f, o, regiao from nation left join m on m.c_nationkey = n_nationkey left join g using (n_regionkey)""",
 )
 def pivot_assembly(t):
     facts = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    m = facts.groupBy("c_nationkey").pivot("o_orderstatus", ["F", "O"]).agg(F.round(F.avg("o_totalprice"), 4))
-    g = facts.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").agg(F.round(F.avg("o_totalprice"), 4).alias("regiao"))
+    m = facts.groupBy("c_nationkey").pivot("o_orderstatus", ["F", "O"]).agg(F.round(F.avg("o_totalprice"), 8))
+    g = facts.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").agg(F.round(F.avg("o_totalprice"), 8).alias("regiao"))
     return t.nation.join(m, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(g, "n_regionkey", "left").select("n_name", F.col("F").alias("f"), F.col("O").alias("o"), "regiao")
 
 
@@ -407,13 +407,13 @@ def scd2(t):
 
 @query(
     "w05_lag_change",
-    """select p_brand, semana, round(media, 6) as media, round(100 * (media - lag(media) over w) / nullif(lag(media) over w, 0), 4) as variacao from
+    """select p_brand, semana, round(media, 8) as media, round(100 * (media - lag(media) over w) / nullif(lag(media) over w, 0), 8) as variacao from
        (select p_brand, cast(date_trunc('month', l_shipdate) as date) as semana, avg(l_extendedprice) as media from lineitem join part on l_partkey = p_partkey group by 1, 2) window w as (partition by p_brand order by semana)""",
 )
 def lag_change(t):
     m = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", F.date_trunc("month", "l_shipdate").cast("date").alias("semana")).agg(F.avg("l_extendedprice").alias("media"))
     before = F.lag("media").over(Window.partitionBy("p_brand").orderBy("semana"))
-    return m.select("p_brand", "semana", F.round("media", 6).alias("media"), F.round(100 * (F.col("media") - before) / F.nullif(before, F.lit(0.0)), 4).alias("variacao"))
+    return m.select("p_brand", "semana", F.round("media", 8).alias("media"), F.round(100 * (F.col("media") - before) / F.nullif(before, F.lit(0.0)), 8).alias("variacao"))
 
 
 @query(

@@ -39,26 +39,26 @@ def recent(rows: DataFrame, days: int) -> DataFrame:
 RECENT = "(select * from atual where data_coleta >= (select max(data_coleta) from atual) - 30)"
 
 
-@query("b02_kpis", f"with {CURRENT_SQL} select produto, round(avg(valor_venda), 6) as media, min(valor_venda) as minimo, max(valor_venda) as maximo, count(distinct cnpj) as postos, round(avg(variacao), 6) as variacao, max(data_coleta) as ultima from {RECENT} group by 1")
+@query("b02_kpis", f"with {CURRENT_SQL} select produto, round(avg(valor_venda), 10) as media, min(valor_venda) as minimo, max(valor_venda) as maximo, count(distinct cnpj) as postos, round(avg(variacao), 10) as variacao, max(data_coleta) as ultima from {RECENT} group by 1")
 def kpis(t):
     v = F.col("valor_venda")
-    rows = recent(current(t), 30).groupBy("produto").agg(F.round(F.avg(v), 6).alias("media"), F.min(v).alias("minimo"), F.max(v).alias("maximo"), F.countDistinct("cnpj").alias("postos"), F.round(F.avg("variacao"), 6).alias("variacao"), F.max("data_coleta").alias("ultima"))
+    rows = recent(current(t), 30).groupBy("produto").agg(F.round(F.avg(v), 10).alias("media"), F.min(v).alias("minimo"), F.max(v).alias("maximo"), F.countDistinct("cnpj").alias("postos"), F.round(F.avg("variacao"), 10).alias("variacao"), F.max("data_coleta").alias("ultima"))
     return rows.orderBy(product_rank(F.col("produto")), "produto")
 
 
 @query(
     "b02_matrix",
-    f"with {CURRENT_SQL} select uf, municipio, " + ", ".join(f"round(avg(valor_venda) filter (where produto = '{p}'), 6) as \"{p}\"" for p in PRODUCT_ORDER[:3]) + f", count(distinct cnpj) as postos from {RECENT} group by 1, 2",
+    f"with {CURRENT_SQL} select uf, municipio, " + ", ".join(f"round(avg(valor_venda) filter (where produto = '{p}'), 10) as \"{p}\"" for p in PRODUCT_ORDER[:3]) + f", count(distinct cnpj) as postos from {RECENT} group by 1, 2",
 )
 def matrix(t):
     rows = recent(current(t), 30)
-    cells = [F.round(F.avg(F.when(F.col("produto") == p, F.col("valor_venda"))), 6).alias(p) for p in PRODUCT_ORDER[:3]]
+    cells = [F.round(F.avg(F.when(F.col("produto") == p, F.col("valor_venda"))), 10).alias(p) for p in PRODUCT_ORDER[:3]]
     return rows.groupBy("uf", "municipio").agg(*cells, F.countDistinct("cnpj").alias("postos")).orderBy(F.asc_nulls_last(PRODUCT_ORDER[0]), "municipio")
 
 
-@query("b02_history", f"with {DAILY_SQL} select cast(date_trunc('week', data_coleta) as date) as semana, produto, round(sum(soma) / sum(qtd_postos), 6) as media from diario where data_coleta is not null group by 1, 2")
+@query("b02_history", f"with {DAILY_SQL} select cast(date_trunc('week', data_coleta) as date) as semana, produto, round(sum(soma) / sum(qtd_postos), 10) as media from diario where data_coleta is not null group by 1, 2")
 def history(t):
-    return daily(t).filter("data_coleta is not null").groupBy(F.date_trunc("week", "data_coleta").cast("date").alias("semana"), "produto").agg(F.round(F.sum("soma_valor_venda") / F.sum("qtd_postos"), 6).alias("media"))
+    return daily(t).filter("data_coleta is not null").groupBy(F.date_trunc("week", "data_coleta").cast("date").alias("semana"), "produto").agg(F.round(F.sum("soma_valor_venda") / F.sum("qtd_postos"), 10).alias("media"))
 
 
 @query("b02_coverage", f"with {CURRENT_SQL} select uf, count(distinct municipio) as municipios, count(distinct cnpj) as postos, sum(qtd_coletas) as coletas from atual group by 1")
@@ -109,9 +109,9 @@ def non_passing(t):
     return t.events.filter("event_type = 'error'").groupBy(F.window("ts", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("inicio"), "n")
 
 
-@query("b05_slowest_models", "select user_id, round(avg(value), 6) as media, max(value) as pior, count(*) as execucoes from events group by 1 order by 2 desc, 1 limit 10")
+@query("b05_slowest_models", "select user_id, round(avg(value), 10) as media, max(value) as pior, count(*) as execucoes from events group by 1 order by 2 desc, 1 limit 10")
 def slowest(t):
-    return t.events.groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("media"), F.max("value").alias("pior"), F.count(F.lit(1)).alias("execucoes")).orderBy(F.desc("media"), "user_id").limit(10)
+    return t.events.groupBy("user_id").agg(F.round(F.avg("value"), 10).alias("media"), F.max("value").alias("pior"), F.count(F.lit(1)).alias("execucoes")).orderBy(F.desc("media"), "user_id").limit(10)
 
 
 @query("b05_latest_per_test", "select event_type, user_id, event_id, value from (select *, row_number() over (partition by event_type, user_id order by ts desc, event_id desc) as rn from events) where rn = 1")
@@ -119,15 +119,15 @@ def latest_test(t):
     return latest_per_key(t.events, ["event_type", "user_id"], [F.desc("ts"), F.desc("event_id")]).select("event_type", "user_id", "event_id", "value")
 
 
-@query("b06_durations", "select event_type, cast(date_trunc('hour', ts) as timestamp) as hora, round(avg(value), 6) as media, round(percentile_cont(0.95) within group (order by value), 6) as p95 from events group by 1, 2")
+@query("b06_durations", "select event_type, cast(date_trunc('hour', ts) as timestamp) as hora, round(avg(value), 10) as media, round(percentile_cont(0.95) within group (order by value), 10) as p95 from events group by 1, 2")
 def durations(t):
-    return t.events.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hora")).agg(F.round(F.avg("value"), 6).alias("media"), F.round(F.percentile("value", 0.95), 6).alias("p95"))
+    return t.events.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hora")).agg(F.round(F.avg("value"), 10).alias("media"), F.round(F.percentile("value", 0.95), 10).alias("p95"))
 
 
-@query("b07_quality_series", "select cast(ts as date) as dia, 'k' as metrica, round(avg(cast(json_extract_string(props, '$.k') as int)), 6) as valor from events where list_contains(json_keys(props), 'k') group by 1")
+@query("b07_quality_series", "select cast(ts as date) as dia, 'k' as metrica, round(avg(cast(json_extract_string(props, '$.k') as int)), 10) as valor from events where list_contains(json_keys(props), 'k') group by 1")
 def quality_series(t):
     k = F.get_json_object("props", "$.k").cast("int")
-    return t.events.filter(k.isNotNull()).groupBy(F.to_date("ts").alias("dia")).agg(F.round(F.avg(k), 6).alias("valor")).select("dia", F.lit("k").alias("metrica"), "valor")
+    return t.events.filter(k.isNotNull()).groupBy(F.to_date("ts").alias("dia")).agg(F.round(F.avg(k), 10).alias("valor")).select("dia", F.lit("k").alias("metrica"), "valor")
 
 
 @query("b09_invoice_operation", "select status, count(*) as lotes, sum(qtd_arquivos) as arquivos, round(avg(epoch(processado_em - recebido_em)) / 60, 4) as minutos from nfe_lote group by 1")
@@ -144,14 +144,14 @@ def top_issuers(t):
 
 @query(
     "b10_ethanol_ratio",
-    f"with {CLEAN_SQL}, s as (select cast(date_trunc('week', data_coleta) as date) as semana, estado_sigla as uf, avg(valor_venda) filter (where produto = 'ETANOL') as e, avg(valor_venda) filter (where produto = 'GASOLINA') as g from fato join postos using (id_posto_sk) join produtos using (id_produto_sk) group by 1, 2) select semana, uf, round(e / nullif(g, 0), 6) as razao from s where e is not null and g is not null",
+    f"with {CLEAN_SQL}, s as (select cast(date_trunc('week', data_coleta) as date) as semana, estado_sigla as uf, avg(valor_venda) filter (where produto = 'ETANOL') as e, avg(valor_venda) filter (where produto = 'GASOLINA') as g from fato join postos using (id_posto_sk) join produtos using (id_produto_sk) group by 1, 2) select semana, uf, round(e / nullif(g, 0), 10) as razao from s where e is not null and g is not null",
 )
 def ratio(t):
     from garimpo.plans.warehouse import star
 
     mean = lambda p: F.avg(F.when(F.col("produto") == p, F.col("valor_venda")))
     s = star(t).groupBy(F.date_trunc("week", "data_coleta").cast("date").alias("semana"), F.col("estado_sigla").alias("uf")).agg(mean("ETANOL").alias("e"), mean("GASOLINA").alias("g"))
-    return s.filter("e is not null and g is not null").select("semana", "uf", F.round(F.col("e") / F.nullif(F.col("g"), F.lit(0.0)), 6).alias("razao"))
+    return s.filter("e is not null and g is not null").select("semana", "uf", F.round(F.col("e") / F.nullif(F.col("g"), F.lit(0.0)), 10).alias("razao"))
 
 
 @query(
@@ -170,15 +170,15 @@ def sync_board(t):
     return t.rfb_dominios.groupBy(F.to_date("_inserted_at").alias("dia"), "dominio").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("codigo").alias("codigos"))
 
 
-@query("b12_gate_margin", "select user_id, round(least(avg(value) - 40, max(value) - 90, 100 - min(value)), 6) as margem from events group by 1")
+@query("b12_gate_margin", "select user_id, round(least(avg(value) - 40, max(value) - 90, 100 - min(value)), 10) as margem from events group by 1")
 def gate_margin(t):
-    return t.events.groupBy("user_id").agg(F.round(F.least(F.avg("value") - 40, F.max("value") - 90, 100 - F.min("value")), 6).alias("margem"))
+    return t.events.groupBy("user_id").agg(F.round(F.least(F.avg("value") - 40, F.max("value") - 90, 100 - F.min("value")), 10).alias("margem"))
 
 
-@query("b13_usage", "select cast(ts as date) as dia, event_type, count(*) as chamadas, round(percentile_cont(0.5) within group (order by value), 6) as p50, round(avg((event_type = 'error')::int), 6) as erro, round(100.0 * sum(value) / sum(sum(value)) over (partition by cast(ts as date)), 6) as pct from events group by 1, 2")
+@query("b13_usage", "select cast(ts as date) as dia, event_type, count(*) as chamadas, round(percentile_cont(0.5) within group (order by value), 10) as p50, round(avg((event_type = 'error')::int), 10) as erro, round(100.0 * sum(value) / sum(sum(value)) over (partition by cast(ts as date)), 10) as pct from events group by 1, 2")
 def usage(t):
-    per = t.events.groupBy(F.to_date("ts").alias("dia"), "event_type").agg(F.count(F.lit(1)).alias("chamadas"), F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.avg((F.col("event_type") == "error").cast("int")), 6).alias("erro"), F.sum("value").alias("s"))
-    return per.select("dia", "event_type", "chamadas", "p50", "erro", F.round(F.lit(100.0) * F.col("s") / F.sum("s").over(Window.partitionBy("dia")), 6).alias("pct"))
+    per = t.events.groupBy(F.to_date("ts").alias("dia"), "event_type").agg(F.count(F.lit(1)).alias("chamadas"), F.round(F.percentile("value", 0.5), 10).alias("p50"), F.round(F.avg((F.col("event_type") == "error").cast("int")), 10).alias("erro"), F.sum("value").alias("s"))
+    return per.select("dia", "event_type", "chamadas", "p50", "erro", F.round(F.lit(100.0) * F.col("s") / F.sum("s").over(Window.partitionBy("dia")), 10).alias("pct"))
 
 
 # --- counters and histograms ---------------------------------------------------------------------------------------------
@@ -213,9 +213,9 @@ def histogram_quantile(q: float, counts: DataFrame, by: list[str]) -> DataFrame:
 
 @query(
     "a25_hist_quantile",
-    "with b as (select event_type, le, count(*) filter (where value <= le) as n from events cross join (select unnest([5.0, 10.0, 25.0, 50.0, 100.0, 1e9]) as le) group by 1, 2), r as (select *, lag(n, 1, 0) over w as below, lag(le, 1, 0) over w as lower, max(n) over (partition by event_type) as total from b window w as (partition by event_type order by le)) select event_type, round(case when le >= 1e9 then lower else lower + (le - lower) * (0.9 * total - below) / (n - below) end, 6) as quantil from r where n >= 0.9 * total and below < 0.9 * total",
+    "with b as (select event_type, le, count(*) filter (where value <= le) as n from events cross join (select unnest([5.0, 10.0, 25.0, 50.0, 100.0, 1e9]) as le) group by 1, 2), r as (select *, lag(n, 1, 0) over w as below, lag(le, 1, 0) over w as lower, max(n) over (partition by event_type) as total from b window w as (partition by event_type order by le)) select event_type, round(case when le >= 1e9 then lower else lower + (le - lower) * (0.9 * total - below) / (n - below) end, 10) as quantil from r where n >= 0.9 * total and below < 0.9 * total",
 )
 def hist_quantile(t):
     counts = t.events.groupBy("event_type").agg(*(F.count_if(F.col("value") <= b).alias(f"b{k}") for k, b in enumerate(BOUNDS)))
     long = counts.select("event_type", F.inline(F.array(*(F.struct(F.lit(b).alias("le"), F.col(f"b{k}").alias("n")) for k, b in enumerate(BOUNDS)))))
-    return histogram_quantile(0.9, long, ["event_type"]).select("event_type", F.round("quantil", 6).alias("quantil"))
+    return histogram_quantile(0.9, long, ["event_type"]).select("event_type", F.round("quantil", 10).alias("quantil"))

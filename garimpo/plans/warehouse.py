@@ -98,13 +98,13 @@ def ft_prices(t):
 @query(
     "m02_ag_semanal",
     f"""with {CLEAN_SQL} select cast(date_trunc('week', data_coleta) as date) as semana, estado_sigla as uf, produto, count(*) as qtd_coletas, count(distinct id_posto_sk) as qtd_postos, count(distinct municipio) as qtd_municipios,
-        round(avg(valor_venda), 6) as preco_medio, min(valor_venda) as preco_min, max(valor_venda) as preco_max, round(percentile_cont(0.5) within group (order by valor_venda), 6) as preco_mediano
+        round(avg(valor_venda), 10) as preco_medio, min(valor_venda) as preco_min, max(valor_venda) as preco_max, round(percentile_cont(0.5) within group (order by valor_venda), 10) as preco_mediano
         from fato join postos using (id_posto_sk) join produtos using (id_produto_sk) group by 1, 2, 3""",
 )
 def weekly_mart(t):
     v = F.col("valor_venda")
     return star(t).groupBy(F.date_trunc("week", "data_coleta").cast("date").alias("semana"), F.col("estado_sigla").alias("uf"), "produto").agg(
-        F.count(F.lit(1)).alias("qtd_coletas"), F.countDistinct("id_posto_sk").alias("qtd_postos"), F.countDistinct("municipio").alias("qtd_municipios"), F.round(F.avg(v), 6).alias("preco_medio"), F.min(v).alias("preco_min"), F.max(v).alias("preco_max"), F.round(F.percentile(v, 0.5), 6).alias("preco_mediano")
+        F.count(F.lit(1)).alias("qtd_coletas"), F.countDistinct("id_posto_sk").alias("qtd_postos"), F.countDistinct("municipio").alias("qtd_municipios"), F.round(F.avg(v), 10).alias("preco_medio"), F.min(v).alias("preco_min"), F.max(v).alias("preco_max"), F.round(F.percentile(v, 0.5), 10).alias("preco_mediano")
     )
 
 
@@ -125,7 +125,7 @@ def daily(t) -> DataFrame:
 CURRENT_SQL = f"""{CLEAN_SQL}, col as (select *, row_number() over (partition by id_posto_sk, id_produto_sk order by data_coleta desc nulls last, id_fato) as rn, count(*) over (partition by id_posto_sk, id_produto_sk) as n from fato),
    ult as (select id_posto_sk, id_produto_sk, max(data_coleta) filter (where rn = 1) as data_coleta, max(valor_venda) filter (where rn = 1) as valor_venda, max(valor_venda) filter (where rn = 2) as anterior, max(n) as qtd_coletas from col where rn <= 2 group by 1, 2),
    atual as (select produto, cnpj, revenda, coalesce(nullif(upper(trim(bandeira)), ''), 'NAO INFORMADA') as bandeira, estado_sigla as uf, upper(trim(municipio)) as municipio, coalesce(nullif(upper(trim(bairro)), ''), 'NAO INFORMADO') as bairro,
-   concat_ws(', ', nullif(trim(nome_da_rua), ''), nullif(trim(numero_rua), '')) as endereco, data_coleta, valor_venda, round(valor_venda - anterior, 6) as variacao, qtd_coletas from ult join postos using (id_posto_sk) join produtos using (id_produto_sk)) """
+   concat_ws(', ', nullif(trim(nome_da_rua), ''), nullif(trim(numero_rua), '')) as endereco, data_coleta, valor_venda, round(valor_venda - anterior, 10) as variacao, qtd_coletas from ult join postos using (id_posto_sk) join produtos using (id_produto_sk)) """
 
 
 @query("m02_ag_posto_atual", f"with {CURRENT_SQL} select * from atual")
@@ -144,7 +144,7 @@ def current(t) -> DataFrame:
     part = lambda c: F.nullif(F.trim(c), F.lit(""))
     return wide.select(
         "produto", "cnpj", "revenda", text.clean_label(F.col("bandeira"), "NAO INFORMADA").alias("bandeira"), F.col("estado_sigla").alias("uf"), F.upper(F.trim("municipio")).alias("municipio"), text.clean_label(F.col("bairro"), "NAO INFORMADO").alias("bairro"),
-        F.concat_ws(", ", part("nome_da_rua"), part("numero_rua")).alias("endereco"), "data_coleta", "valor_venda", F.round(F.col("valor_venda") - F.col("anterior"), 6).alias("variacao"), "qtd_coletas",
+        F.concat_ws(", ", part("nome_da_rua"), part("numero_rua")).alias("endereco"), "data_coleta", "valor_venda", F.round(F.col("valor_venda") - F.col("anterior"), 10).alias("variacao"), "qtd_coletas",
     )
 
 

@@ -26,7 +26,7 @@ def norm(v):
     if isinstance(v, decimal.Decimal):
         v = float(v)
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.9g}")
+        return None if math.isnan(v) else float(f"{v:.15g}")
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (list, tuple)):
