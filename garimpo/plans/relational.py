@@ -95,12 +95,12 @@ def exact_rollup(t):
 
 @query(
     "a11_kpi_fixed_order",
-    """select p_brand, round(avg(p_retailprice), 8) as media, min(p_retailprice) as minimo, max(p_retailprice) as maximo, count(distinct p_type) as tipos,
+    """select p_brand, round(avg(p_retailprice), 10) as media, min(p_retailprice) as minimo, max(p_retailprice) as maximo, count(distinct p_type) as tipos,
        case p_brand when 'Brand#1' then 1 when 'Brand#2' then 2 when 'Brand#3' then 3 else 1000000 end as ordem from part group by 1""",
 )
 def kpi(t):
     order = F.coalesce(F.create_map(*(F.lit(x) for pair in (("Brand#1", 1), ("Brand#2", 2), ("Brand#3", 3)) for x in pair))[F.col("p_brand")], F.lit(1000000))
-    return t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 8).alias("media"), F.min("p_retailprice").alias("minimo"), F.max("p_retailprice").alias("maximo"), F.countDistinct("p_type").alias("tipos")).withColumn("ordem", order).orderBy("ordem", "p_brand")
+    return t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 10).alias("media"), F.min("p_retailprice").alias("minimo"), F.max("p_retailprice").alias("maximo"), F.countDistinct("p_type").alias("tipos")).withColumn("ordem", order).orderBy("ordem", "p_brand")
 
 
 @query(
@@ -226,13 +226,13 @@ def default_max(t):
 
 @query(
     "j01_star",
-    """select r_name, p_brand, round(sum(l_extendedprice * (1 - l_discount)), 2) as receita from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+    """select r_name, p_brand, round(sum(l_extendedprice * (1 - l_discount)), 4) as receita from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
        join region on n_regionkey = r_regionkey join part on l_partkey = p_partkey group by 1, 2""",
 )
 def star(t):
     places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     fact = t.lineitem.join(places, F.col("l_suppkey") == F.col("s_suppkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return fact.groupBy("r_name", "p_brand").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("receita"))
+    return fact.groupBy("r_name", "p_brand").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("receita"))
 
 
 @query("j02_using", "select o_orderkey, sum(l_quantity) as qtd from (select l_orderkey as o_orderkey, l_quantity from lineitem) join orders using (o_orderkey) group by 1")
