@@ -98,13 +98,13 @@ def ft_prices(t):
 @query(
     "m02_ag_semanal",
     f"""with {CLEAN_SQL} select cast(date_trunc('week', data_coleta) as date) as semana, estado_sigla as uf, produto, count(*) as qtd_coletas, count(distinct id_posto_sk) as qtd_postos, count(distinct municipio) as qtd_municipios,
-        round(avg(valor_venda), 8) as preco_medio, min(valor_venda) as preco_min, max(valor_venda) as preco_max, round(percentile_cont(0.5) within group (order by valor_venda), 10) as preco_mediano
+        round(avg(valor_venda), 9) as preco_medio, min(valor_venda) as preco_min, max(valor_venda) as preco_max, round(percentile_cont(0.5) within group (order by valor_venda), 10) as preco_mediano
         from fato join postos using (id_posto_sk) join produtos using (id_produto_sk) group by 1, 2, 3""",
 )
 def weekly_mart(t):
     v = F.col("valor_venda")
     return star(t).groupBy(F.date_trunc("week", "data_coleta").cast("date").alias("semana"), F.col("estado_sigla").alias("uf"), "produto").agg(
-        F.count(F.lit(1)).alias("qtd_coletas"), F.countDistinct("id_posto_sk").alias("qtd_postos"), F.countDistinct("municipio").alias("qtd_municipios"), F.round(F.avg(v), 8).alias("preco_medio"), F.min(v).alias("preco_min"), F.max(v).alias("preco_max"), F.round(F.percentile(v, 0.5), 10).alias("preco_mediano")
+        F.count(F.lit(1)).alias("qtd_coletas"), F.countDistinct("id_posto_sk").alias("qtd_postos"), F.countDistinct("municipio").alias("qtd_municipios"), F.round(F.avg(v), 9).alias("preco_medio"), F.min(v).alias("preco_min"), F.max(v).alias("preco_max"), F.round(F.percentile(v, 0.5), 10).alias("preco_mediano")
     )
 
 
