@@ -146,7 +146,7 @@ def as_law(t):
     """Documents printed as a law: the first line is an article, the others its paragraphs."""
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
     mark = F.transform(lines, lambda x, k: F.concat(F.lit("    "), F.when(k == 0, F.concat(F.lit("Art. "), F.col("doc_id").cast("string"), F.lit(". "))).when(k < 10, F.concat(F.lit("§ "), k.cast("string"), F.lit("º "))).otherwise(F.concat(F.lit("§ "), k.cast("string"), F.lit(". "))), F.trim(x)))
-    return t.documents.filter("doc_id < 1000000").select(F.concat(F.lit("lei"), F.col("doc_id").cast("string")).alias("lei"), F.array_join(mark, "\n").alias("texto"))
+    return t.documents.select(F.concat(F.lit("lei"), F.col("doc_id").cast("string")).alias("lei"), F.array_join(mark, "\n").alias("texto"))
 
 
 @query(

@@ -53,6 +53,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Remove everything written with ``fresh`` or ``cut``; call it when no result that reads from there is needed any more."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/garimpo")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class Versions:
     """A folder of table versions with one pointer file that is swapped by rename.
 
