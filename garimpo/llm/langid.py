@@ -137,6 +137,13 @@ class Model:
         self.b = np.zeros(len(LANGUAGES), np.float32)
         self.temperature = 1.0
 
+    @classmethod
+    def with_table(cls, p: Settings, b: np.ndarray, temperature: float) -> "Model":
+        """A model that only judges by a given table: without weights of its own."""
+        m = cls.__new__(cls)
+        m.p, m.b, m.temperature = p, b, temperature
+        return m
+
     def train(self, texts: list[str], y: np.ndarray) -> "Model":
         p = self.p
         rng = np.random.default_rng(p.seed)
@@ -293,11 +300,13 @@ def judge(texts: list[str | None], model: Model, table: np.ndarray) -> list[list
 def stretches(docs: DataFrame, doc_id: str, text: str, lang: str, model: Model) -> DataFrame:
     """doc_id, rotulo (the label as given), lang (of most characters), confianca, trechos: array of (inicio, fim, lang, confianca)."""
     kind = docs.select(doc_id).schema[0].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast((model, model.table()))  # buckets x languages numbers: a fixed size
+    shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.b, model.temperature))  # buckets x languages numbers: a fixed size
+    settings = model.p
     item = pa.struct([("inicio", pa.int32()), ("fim", pa.int32()), ("lang", pa.string()), ("confianca", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, table = shared.value
+        table, b, temperature = shared.value
+        m = Model.with_table(settings, b, temperature)
         for whole in batches:
             for k in range(0, whole.num_rows, 1024):
                 batch = whole.slice(k, 1024)
