@@ -46,11 +46,6 @@ def silver(t) -> DataFrame:
     return latest_per_key(anp_clean(t.anp_landing_semanal), ["chave"], [F.desc("ingestion_timestamp"), F.desc("arquivo"), F.desc("linha_id")])
 
 
-def stored_silver(t) -> DataFrame:
-    """Silver as a written table (what serving reads): fact and dimensions share one scan and one deduplication of the landing rows."""
-    return cut(silver(t).drop("regiao_sigla", "valor_compra", "arquivo", "complemento"), "silver")
-
-
 def stations(s: DataFrame) -> DataFrame:
     rows = s.filter(F.col("cnpj").isNotNull()).select("cnpj", "revenda", "bandeira", "estado_sigla", "municipio", "bairro", "cep", "nome_da_rua", "numero_rua", "data_coleta", "linha_id")
     return latest_per_key(rows, ["cnpj"], [F.desc_nulls_last("data_coleta"), F.desc("linha_id")]).withColumn("id_posto_sk", F.md5("cnpj"))
@@ -65,7 +60,7 @@ def price_fact(s: DataFrame) -> DataFrame:
 
 
 def star(t) -> DataFrame:
-    s = stored_silver(t)
+    s = silver(t)
     return price_fact(s).join(stations(s).select("id_posto_sk", "cnpj", "revenda", "bandeira", "estado_sigla", "municipio", "bairro", "nome_da_rua", "numero_rua"), "id_posto_sk").join(products(s), "id_produto_sk")
 
 
@@ -135,7 +130,7 @@ def current_mart(t):
 
 def current(t) -> DataFrame:
     """Latest price of each station and product with the one before: dimensions are joined after the fact is one row per key."""
-    s = stored_silver(t)
+    s = silver(t)
     w = Window.partitionBy("id_posto_sk", "id_produto_sk").orderBy(F.desc_nulls_last("data_coleta"), "id_fato")
     ranked = price_fact(s).select("id_posto_sk", "id_produto_sk", "data_coleta", "valor_venda", F.row_number().over(w).alias("rn"))
     pick = lambda c, n: F.max(F.when(F.col("rn") == n, F.col(c)))
@@ -235,15 +230,19 @@ ITEM = {"n_item": "@nItem", "cprod": "prod.cProd", "ncm": "prod.NCM", "cfop": "p
 
 def shredded(t) -> DataFrame:
     """The current invoices, parsed once and written: headers, items and marts are plain reads of it."""
-    return cut(shred.shred(current_invoices(t), ["chave", "lote_id"], "conteudo").filter("grupo in ('infNFe', 'det')"), "invoices")
+    return cut(parsed(t), "invoices")
+
+
+def parsed(t) -> DataFrame:
+    return shred.shred(current_invoices(t), ["chave", "lote_id"], "conteudo").filter("grupo in ('infNFe', 'det')")
 
 
 def headers(t, found: DataFrame | None = None) -> DataFrame:
-    return shred.flat_table(shredded(t) if found is None else found, ["chave", "lote_id"], "infNFe", HEADER)
+    return shred.flat_table(parsed(t) if found is None else found, ["chave", "lote_id"], "infNFe", HEADER)
 
 
 def items(t, found: DataFrame | None = None) -> DataFrame:
-    rows = shred.flat_table(shredded(t) if found is None else found, ["chave", "lote_id"], "det", ITEM)
+    rows = shred.flat_table(parsed(t) if found is None else found, ["chave", "lote_id"], "det", ITEM)
     money = lambda c: F.col(c).cast("decimal(15,2)").alias(c)
     return rows.select("chave", "lote_id", F.col("n_item").cast("int").alias("n_item"), "cprod", "ncm", "cfop", "cst_ibscbs", *(money(c) for c in ("vprod", "v_ibs", "v_cbs", "vbc")))
 
