@@ -9,10 +9,20 @@ from pyspark.sql.window import Window
 from garimpo.functions import text
 from garimpo.operators.latest import latest_per_key, newest
 from garimpo.plans.catalog import query
-from garimpo.plans.warehouse import CLEAN_SQL, CURRENT_SQL, CURRENT_XML, current, daily, headers, tag
+from garimpo.plans.warehouse import CLEAN_SQL, CURRENT_SQL, CURRENT_XML, current, current_of, daily, headers, silver, tag
+from garimpo.workspace import cut
 
 # fixed values: order in which products are shown
-PRODUCT_ORDER = ["GASOLINA", "GASOLINA ADITIVADA", "ETANOL", "DIESEL", "DIESEL S10", "GNV", "GLP"]
+PRODUCT_ORDER = ["GASOLINA", "GASOLINA ADITIVADA", "ETANOL", "DIESEL S10", "DIESEL", "GNV", "GLP", "DIESEL S50"]
+# fixed values: products with a column of their own in the matrix; all further ones share a list
+MATRIX_PRODUCTS = [*PRODUCT_ORDER, "GASOLINA C ESPECIAL"]
+# fixed values: rows of the matrix at each level
+LEVELS = {
+    "estado": ["uf"],
+    "cidade": ["uf", "municipio"],
+    "bairro": ["uf", "municipio", "bairro"],
+    "posto": ["uf", "municipio", "bairro", "revenda", "bandeira", "cnpj", "endereco"],
+}
 DAILY_SQL = f"{CLEAN_SQL}, diario as (select data_coleta, estado_sigla as uf, upper(trim(municipio)) as municipio, produto, count(*) as qtd_postos, sum(valor_venda) as soma, min(valor_venda) as preco_min, max(valor_venda) as preco_max from fato join postos using (id_posto_sk) join produtos using (id_produto_sk) group by 1, 2, 3, 4)"
 
 
@@ -56,6 +66,67 @@ def matrix(t):
     return rows.groupBy("uf", "municipio").agg(*cells, F.countDistinct("cnpj").alias("postos")).orderBy(F.asc_nulls_last(PRODUCT_ORDER[0]), "municipio")
 
 
+def level_sql(level: str) -> str:
+    """The matrix at one level; its main product is the first one present, known products before further ones."""
+    keys = ", ".join(LEVELS[level])
+    on = " and ".join(f"r.{k} is not distinct from {{0}}.{k}" for k in LEVELS[level])
+    rank = "case produto " + " ".join(f"when '{p}' then {k}" for k, p in enumerate(PRODUCT_ORDER)) + " else 1000000 end"
+    known = ", ".join(f"'{p}'" for p in MATRIX_PRODUCTS)
+    cells = ", ".join(f"round(avg(valor_venda) filter (where produto = '{p}'), 10) as \"{p}\"" for p in MATRIX_PRODUCTS)
+    names = ", ".join(f'"{p}"' for p in MATRIX_PRODUCTS)
+    city = level == "posto"
+    return (
+        f"with {CURRENT_SQL}, recente as (select * from {RECENT}), principal as (select produto from recente where produto is not null order by {rank}, produto limit 1), "
+        f"linhas as (select {keys}, {cells}, count(distinct cnpj) as qtd_postos, max(data_coleta) as ultima_coleta, avg(valor_venda) filter (where produto = (select produto from principal)) as p from recente group by all), "
+        f"demais as (select {keys}, produto, round(avg(valor_venda), 10) as preco from recente where produto is null or produto not in ({known}) group by all), "
+        f"outros as (select {keys}, list({{'produto': produto, 'preco': preco}} order by produto nulls first) as outros from demais group by all)"
+        + (", cidades as (select uf, municipio, avg(valor_venda) as media from recente where produto = (select produto from principal) group by 1, 2)" if city else "")
+        + f" select {', '.join(f'r.{k}' for k in LEVELS[level])}, qtd_postos, ultima_coleta, {names}, coalesce(outros, []) as outros"
+        + (", round((p / nullif(media, 0) - 1) * 100, 6) as vs_media_cidade" if city else "")
+        + f" from linhas r left join outros o on {on.format('o')}"
+        + (" left join cidades c on r.uf is not distinct from c.uf and r.municipio is not distinct from c.municipio" if city else "")
+    )
+
+
+def same(left: DataFrame, right: DataFrame, keys: list[str]):
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(right[f"__{k}"])
+    return on
+
+
+def level_matrix(rows: DataFrame, level: str, main: str | None = None) -> DataFrame:
+    """One row per place of ``level``, a mean price per known product, further products in ``outros``, cheapest first on the main
+    product (``main``, else the first one present); stations are held against the mean of their city."""
+    keys, v, city = LEVELS[level], F.col("valor_venda"), level == "posto"
+    rows = cut(rows.select(*dict.fromkeys([*keys, "cnpj", "produto", "data_coleta", "valor_venda"])), "matrix")
+    first = rows.filter(F.col("produto").isNotNull()).agg(F.max(F.col("produto") == main).alias("asked"), F.min(F.struct(product_rank(F.col("produto")).alias("k"), "produto")).alias("first"))
+    first = first.select(F.when(F.col("asked"), F.lit(main)).otherwise(F.col("first.produto")).alias("__main"))
+    rows = rows.join(F.broadcast(first))  # one row
+    price = F.avg(F.when(F.col("produto") == F.col("__main"), v))
+    cells = [F.round(F.avg(F.when(F.col("produto") == p, v)), 10).alias(p) for p in MATRIX_PRODUCTS]
+    out = rows.groupBy(*keys).agg(F.countDistinct("cnpj").alias("qtd_postos"), F.max("data_coleta").alias("ultima_coleta"), *cells, price.alias("__price"))
+    rest = rows.filter(F.col("produto").isNull() | ~F.col("produto").isin(MATRIX_PRODUCTS)).groupBy(*keys, "produto").agg(F.round(F.avg(v), 10).alias("preco"))
+    rest = rest.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.array_sort(F.collect_list(F.struct("produto", "preco"))).alias("outros"))
+    out = out.join(rest, same(out, rest, keys), "left").select(*out.columns, F.coalesce("outros", F.array().cast("array<struct<produto:string,preco:double>>")).alias("outros"))
+    if city:
+        means = rows.groupBy(F.col("uf").alias("__uf"), F.col("municipio").alias("__municipio")).agg(price.alias("__mean"))
+        versus = (F.col("__price") / F.nullif(F.col("__mean"), F.lit(0.0)) - 1) * 100
+        out = out.join(means, same(out, means, ["uf", "municipio"]), "left").select(*out.columns, F.round(versus, 6).alias("vs_media_cidade"))
+    return out.orderBy(F.asc_nulls_last("__price"), *(F.asc_nulls_last(k) for k in keys)).drop("__price")
+
+
+def current_once(t) -> DataFrame:
+    """The current prices as a written table, from a written silver table: the matrix reads both more than once, and each reading
+    shuffles all rows again otherwise."""
+    s = silver(t).select("chave", "cnpj", "produto", "id_produto", "unidade_de_medida", "data_coleta", "valor_venda", "ingestion_timestamp", "revenda", "bandeira", "estado_sigla", "municipio", "bairro", "cep", "nome_da_rua", "numero_rua", "linha_id")
+    return cut(current_of(cut(s, "silver")), "current")
+
+
+for _level in LEVELS:
+    query(f"b02_matrix_{_level}", level_sql(_level))(lambda t, level=_level: level_matrix(recent(current_once(t), 30), level))
+
+
 @query("b02_history", f"with {DAILY_SQL} select cast(date_trunc('week', data_coleta) as date) as semana, produto, round(sum(soma) / sum(qtd_postos), 10) as media from diario where data_coleta is not null group by 1, 2")
 def history(t):
     return daily(t).filter("data_coleta is not null").groupBy(F.date_trunc("week", "data_coleta").cast("date").alias("semana"), "produto").agg(F.round(F.sum("soma_valor_venda") / F.sum("qtd_postos"), 10).alias("media"))

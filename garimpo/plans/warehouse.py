@@ -129,8 +129,11 @@ def current_mart(t):
 
 
 def current(t) -> DataFrame:
+    return current_of(silver(t))
+
+
+def current_of(s: DataFrame) -> DataFrame:
     """Latest price of each station and product with the one before: dimensions are joined after the fact is one row per key."""
-    s = silver(t)
     w = Window.partitionBy("id_posto_sk", "id_produto_sk").orderBy(F.desc_nulls_last("data_coleta"), "id_fato")
     ranked = price_fact(s).select("id_posto_sk", "id_produto_sk", "data_coleta", "valor_venda", F.row_number().over(w).alias("rn"))
     pick = lambda c, n: F.max(F.when(F.col("rn") == n, F.col(c)))

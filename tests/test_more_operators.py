@@ -240,3 +240,25 @@ def test_top_k_many_in_blocks(spark):
             got.setdefault(r.q, []).append(r.id)
         assert got == want
     assert retrieval.top_k_many(v, "e", "i", q.limit(0), 2).count() == 0
+
+
+def test_matrix_levels(spark):
+    from garimpo.plans import serving
+
+    day = datetime.date(2026, 3, 1)
+    data = [
+        ("SP", "A", "CENTRO", "P1", "X", "1", "R 1", "GASOLINA", day, 6.0),
+        ("SP", "A", "CENTRO", "P1", "X", "1", "R 1", "DIESEL S10", day + datetime.timedelta(1), 7.0),
+        ("SP", "A", None, "P2", "X", "2", "R 2", "GASOLINA", day, 5.0),
+        ("SP", "A", None, "P2", "X", "2", "R 2", "QUEROSENE", day, 4.0),
+        ("SP", "B", "SUL", "P3", "X", "3", "R 3", "GLP", day, 110.0),
+        ("SP", "B", "SUL", "P3", "X", "3", "R 3", "GASOLINA C ESPECIAL", day, 8.0),
+    ]
+    df = spark.createDataFrame(data, "uf string, municipio string, bairro string, revenda string, bandeira string, cnpj string, endereco string, produto string, data_coleta date, valor_venda double")
+    state = serving.level_matrix(df, "estado").collect()
+    assert [(r.uf, r.qtd_postos, r.ultima_coleta, r.GASOLINA, r["DIESEL S10"], r.GLP, r["GASOLINA C ESPECIAL"], r.outros) for r in state] == [("SP", 3, day + datetime.timedelta(1), 5.5, 7.0, 110.0, 8.0, [("QUEROSENE", 4.0)])]
+    assert [(r.municipio, r.GASOLINA) for r in serving.level_matrix(df, "cidade").collect()] == [("A", 5.5), ("B", None)]
+    assert [(r.bairro, r.qtd_postos, len(r.outros)) for r in serving.level_matrix(df, "bairro").collect()] == [(None, 1, 1), ("CENTRO", 1, 0), ("SUL", 1, 0)]
+    assert [(r.revenda, r.vs_media_cidade) for r in serving.level_matrix(df, "posto").collect()] == [("P2", -9.090909), ("P1", 9.090909), ("P3", None)]
+    assert [(r.revenda, r.vs_media_cidade) for r in serving.level_matrix(df, "posto", "GLP").collect()] == [("P3", 0.0), ("P1", None), ("P2", None)]
+    assert serving.level_matrix(df.limit(0), "posto").count() == 0
