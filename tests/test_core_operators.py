@@ -221,3 +221,39 @@ def test_latest(spark):
     assert rows(latest_and_previous(df, ["k"], [F.desc("t")], "v")) == [("a", 7.0, 5.0, 2, 2.0), ("b", None, None, 1, None), (None, 1.0, None, 1, None)]
     stored = spark.createDataFrame([("a", 1, 1.0), ("z", 1, 1.0)], df.schema)
     assert {(r.k, r.acao) for r in set_sync(df, stored, ["k"]).collect()} == {("a", "mantida"), ("b", "nova"), ("z", "obsoleta"), (None, "nova")}
+
+
+def test_lines_are_loaded_by_the_reader(monkeypatch):
+    import dataclasses
+    import random
+
+    import duckdb
+
+    line = "S;SP;CIDADE;POSTO;1;RUA;1;;CENTRO;1;GASOLINA;{};{};;R$;X"
+    clean = [line.format(f"0{k}/03/2026", f"5,{k}9") for k in range(1, 9)]
+
+    def never(text):
+        raise AssertionError("exact check of a clean line")
+
+    blind = dataclasses.replace(rejects.ANP_LINE, checks={c: (rule, never) for c, (rule, _) in rejects.ANP_LINE.checks.items()})
+    assert rejects.judge_block(clean, blind) == [(x.split(";"), None) for x in clean]
+    rng = random.Random(5)
+    dates = ["01/02/2026", "1/2/2026", "31/02/2026", " 01/02/2026", "01/02/26", "", "\x01", "2026-02-01", "01/02/2026 10:00", "01/02/0000", '"01/02/2026"', "01/02/2026\t", "00001/02/2026"]
+    prices = ["5,99", "5.99", "", " ", "abc", "\x01", "5,99,1", "+5", ".5", "5,", "1e3", '"5', "5\rx", " 5,9 ", "5;9", "٥", "5\t"]
+    lines = [line.format(rng.choice(dates), rng.choice(prices)) + rng.choice(["", "", "\rY", ";", '"', "\0"]) for _ in range(400)]
+    width = len(rejects.ANP_LINE.columns)
+    for text, (fields, reason) in zip(lines, rejects.judge_block(lines, rejects.ANP_LINE)):
+        want = rejects.split_line(text)
+        good = want is not None and len(want) == width and rejects.is_date(want[11]) and rejects.is_price(want[12])
+        assert (reason is None) == good, text
+        assert not good or [x.strip() if k == 11 else x for k, x in enumerate(want)] == [x.strip() if k == 11 else x for k, x in enumerate(fields)]
+
+    def broken(lines, contract):
+        raise failure
+
+    monkeypatch.setattr(rejects, "duckdb_rejects", broken)
+    failure = duckdb.InvalidInputException("given up")
+    assert [f for f, _ in rejects.judge_block(clean, rejects.ANP_LINE)] == [x.split(";") for x in clean]
+    failure = ImportError("no reader")
+    with pytest.raises(ImportError):
+        rejects.judge_block(clean, rejects.ANP_LINE)
