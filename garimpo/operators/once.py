@@ -18,7 +18,7 @@ all ``order`` columns are one arrival (``copies`` counts them): they stay or go
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -87,17 +87,31 @@ class SeenState:
         return selected.select(F.col("id").alias(identifier), "o.*", "copies")
 
 
-def deduplicate(rows: DataFrame, identifier: str, order: list[str], state: SeenState | None = None, shards: int = 256) -> tuple[DataFrame, DataFrame]:
+def deduplicate(rows: DataFrame, identifier: str, order: list[str], state: SeenState | None = None, shards: int = 256, batch: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped) as identifier and order columns; ``order`` must end in columns that tell the rows apart.
 
+    ``batch``: the load of a row, growing with ``order`` (a list as long as there are loads is held on the driver). Loads go to the state from the newest
+    to the oldest, nulls last, so that the bits of newer ones refuse the copies in older ones; without it all rows are one batch.
+
     The dropped rows are found by the rows' own key (``order``), never by the identifier: no hot identifier meets in one task."""
-    state = state or SeenState(rows.sparkSession, shards=shards)
-    narrow = cut(rows.select(identifier, *order), "arrivals")
-    kept = state.admit(narrow, identifier, order)
+    spark = rows.sparkSession
+    state = state or SeenState(spark, shards=shards)
+    if batch is None:
+        narrow = cut(rows.select(identifier, *order), "arrivals")
+        kept = state.admit(narrow, identifier, order).select(identifier, *order)
+    else:
+        loads, path = rows.select(identifier, *order, batch.alias("__batch")), fresh(spark, "arrivals")
+        loads.write.partitionBy("__batch").parquet(path)  # each batch reads its own rows
+        narrow = spark.read.schema(loads.schema).parquet(path)
+        numbers = sorted((r[0] for r in narrow.select("__batch").distinct().collect()), key=lambda n: (n is not None, n or 0), reverse=True)
+        kept = spark.createDataFrame([], rows.select(identifier, *order).withColumn(identifier, F.col(identifier).cast("string")).schema)
+        for n in numbers:
+            kept = kept.unionByName(state.admit(narrow.filter(F.col("__batch").eqNullSafe(F.lit(n))).drop("__batch"), identifier, order).select(identifier, *order))
+        kept, narrow = cut(kept, "kept"), narrow.drop("__batch")
     same = None
     left, right = narrow.filter(F.col(identifier).isNotNull()), kept.select(*(F.col(c).alias(f"__{c}") for c in order))
     for c in order:
         e = left[c].eqNullSafe(right[f"__{c}"])
         same = e if same is None else same & e
     dropped = left.join(right, same, "left_anti").select(identifier, *order)
-    return kept.select(identifier, *order).unionByName(narrow.filter(F.col(identifier).isNull()).select(identifier, *order)), dropped
+    return kept.unionByName(narrow.filter(F.col(identifier).isNull()).select(identifier, *order)), dropped

@@ -122,7 +122,7 @@ def message_key():
 
 def _deduplicated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, d, "nfe_xml").select(message_key().alias("chave"), "carregado_em", "lote_id", "arquivo")
-    return once.deduplicate(rows, "chave", ["carregado_em", "lote_id", "arquivo"])
+    return once.deduplicate(rows, "chave", ["carregado_em", "lote_id", "arquivo"], batch=_month("carregado_em"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

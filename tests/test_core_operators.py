@@ -257,3 +257,24 @@ def test_lines_are_loaded_by_the_reader(monkeypatch):
     failure = ImportError("no reader")
     with pytest.raises(ImportError):
         rejects.judge_block(clean, rejects.ANP_LINE)
+
+
+def test_older_loads_are_refused_by_the_bits(spark, monkeypatch):
+    from garimpo.plans import problems
+
+    asked = []
+    admit = once.SeenState.admit
+
+    def counted(self, rows, identifier, order):
+        kept = admit(self, rows, identifier, order)
+        asked.append((rows.filter(F.col(identifier).isNotNull()).select(identifier).distinct().count(), kept.count()))
+        return kept
+
+    monkeypatch.setattr(once.SeenState, "admit", counted)
+    day = lambda m, d: datetime.datetime(2026, m, d)
+    data = [("a" * 44, day(1, 5), 1), ("a" * 44, day(2, 5), 2), ("a" * 44, day(2, 3), 3), ("b" * 44, None, 4), ("b" * 44, day(1, 1), 5), ("c" * 44, None, 6), (None, day(1, 1), 7)]
+    df = spark.createDataFrame([(None, f"<infNFe Id='NFe{ {'a': '1', 'b': '2', 'c': '3'}[k[0]] * 44 }'/>" if k else "<x/>", at, "lote", str(n)) for k, at, n in data], "chave_acesso string, conteudo string, carregado_em timestamp, lote_id string, arquivo string")
+    monkeypatch.setattr(problems, "table", lambda *_: df)
+    assert sorted(r.arquivo for r in problems.p3_kept(spark, "").collect()) == ["2", "5", "6", "7"]
+    assert asked == [(1, 1), (2, 1), (2, 1)]
+    assert sorted(r.arquivo for r in problems.p3_found(spark, "").collect()) == ["1", "3", "4"]
