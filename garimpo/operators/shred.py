@@ -212,9 +212,9 @@ def objects(shredded: DataFrame) -> DataFrame:
 
 
 def flat_table(shredded: DataFrame, keys: list[str], group: str, fields: dict[str, str]) -> DataFrame:
-    """One flat table: keys, ordinals, objeto, objeto_pai and ``fields`` (column -> field of the object), stored objects joined
-    to their occurrences. The objects' side has distinct ids, so a hot object only repeats on the bridge's side, which AQE may split."""
+    """One flat table: keys, ordinals, objeto, grupo_pai, objeto_pai, ``fields`` (column -> field of the object) and all of its fields
+    in ``campos``, stored objects joined to their occurrences. The objects' side has distinct ids, so a hot object only repeats on the bridge's side, which AQE may split."""
     stored = objects(shredded.filter(F.col("grupo") == group)).select("objeto", F.from_json("canonico", "map<string,string>").alias("__f"))
     rows = bridge(shredded).filter(F.col("grupo") == group)
     ordinals = [c for c in rows.columns if c.startswith("ordem")]
-    return rows.join(stored, "objeto").select(*keys, *ordinals, "objeto", "objeto_pai", *(F.col("__f")[path].alias(name) for name, path in fields.items()))
+    return rows.join(stored, "objeto").select(*keys, *ordinals, "objeto", "grupo_pai", "objeto_pai", *(F.col("__f")[path].alias(name) for name, path in fields.items()), F.col("__f").alias("campos"))

@@ -31,8 +31,30 @@ def p1_objects(spark: SparkSession, d: str) -> DataFrame:
     return shred.objects(found).join(uses, "objeto").groupBy("grupo").agg(F.count(F.lit(1)).alias("objetos"), F.sum("usos").alias("usos"), F.max("usos").alias("mais_usos"))
 
 
-def p1_items(spark: SparkSession, d: str) -> DataFrame:
-    return shred.flat_table(_shredded(spark, d, True), NFE_KEYS, "det", {"n_item": "@nItem", "c_prod": "prod.cProd", "x_prod": "prod.xProd", "cfop": "prod.CFOP", "ncm": "prod.NCM"}).select(*NFE_KEYS, "ordem1", "n_item", "c_prod", "x_prod", "cfop", "ncm")
+#: group -> (column -> field); every table has all fields of the object in ``campos`` as well
+GROUP_FIELDS = {
+    "det": {"n_item": "@nItem", "c_prod": "prod.cProd", "x_prod": "prod.xProd", "cfop": "prod.CFOP", "ncm": "prod.NCM"},
+    "rastro": {"n_lote": "nLote", "q_lote": "qLote"},
+    "di": {"n_di": "nDI", "d_di": "dDI"},
+    "adi": {"n_adicao": "nAdicao", "c_fabricante": "cFabricante"},
+    "nfref": {"ref_nfe": "refNFe"},
+    "dup": {"n_dup": "nDup", "d_venc": "dVenc", "v_dup": "vDup"},
+    "detpag": {"t_pag": "tPag", "v_pag": "vPag"},
+    "vol": {"q_vol": "qVol"},
+    "lacres": {"n_lacre": "nLacre"},
+}
+
+
+def _flat(group: str):
+    def plan(spark: SparkSession, d: str) -> DataFrame:
+        found = cut(_shredded(spark, d, True).filter(F.col("grupo") == group), "group")  # parsed once for objects and bridge
+        return shred.flat_table(found, NFE_KEYS, group, GROUP_FIELDS[group])
+
+    plan.__name__ = "p1_items" if group == "det" else f"p1_{group}"
+    return plan
+
+
+P1_TABLES = [_flat(group) for group in GROUP_FIELDS]
 
 
 def p1_rejects(spark: SparkSession, d: str) -> DataFrame:
@@ -183,4 +205,4 @@ def p6_loaded(spark: SparkSession, d: str) -> DataFrame:
     return ok.select("linha_id", cnpj14(F.col("cnpj_da_revenda")).alias("cnpj"), strip(F.col("produto")).alias("produto"), date_br(F.col("data_da_coleta")).alias("dia"), price(F.col("valor_de_venda")).alias("valor"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_objects, p1_items, p1_rejects, p2_found, p2_snapshot, p3_found, p3_kept, p4_found, p4_flags, p6_found, p6_reasons, p6_loaded)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_objects, *P1_TABLES, p1_rejects, p2_found, p2_snapshot, p3_found, p3_kept, p4_found, p4_flags, p6_found, p6_reasons, p6_loaded)}

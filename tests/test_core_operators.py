@@ -278,3 +278,18 @@ def test_older_loads_are_refused_by_the_bits(spark, monkeypatch):
     assert sorted(r.arquivo for r in problems.p3_kept(spark, "").collect()) == ["2", "5", "6", "7"]
     assert asked == [(1, 1), (2, 1), (2, 1)]
     assert sorted(r.arquivo for r in problems.p3_found(spark, "").collect()) == ["1", "3", "4"]
+
+
+def test_a_flat_table_per_group(spark, monkeypatch):
+    from garimpo.plans import problems
+
+    text = """<NFe><infNFe Id="1"><ide><NFref><refNFe>9</refNFe></NFref></ide><det nItem="1"><prod><cProd>c</cProd><DI><nDI>d</nDI><xLoc>porto</xLoc><adi><nAdicao>1</nAdicao></adi><adi><nAdicao>2</nAdicao></adi></DI><rastro><nLote>L</nLote></rastro></prod></det>
+    <transp><vol><qVol>3</qVol><lacres><nLacre>s</nLacre></lacres></vol></transp><cobr><dup><nDup>1</nDup><vDup>5</vDup></dup></cobr><pag><detPag><tPag>01</tPag></detPag></pag></infNFe></NFe>"""
+    df = spark.createDataFrame([("lote", "a", text)], "lote_id string, arquivo string, conteudo string")
+    monkeypatch.setattr(problems, "table", lambda *_: df)
+    got = {g: problems.QUERIES["p1_items" if g == "det" else f"p1_{g}"](spark, "").collect() for g in shred.NFE_GROUPS}
+    assert {g: len(r) for g, r in got.items()} == {g: 2 if g == "adi" else 1 for g in shred.NFE_GROUPS}
+    assert sorted((r.ordem1, r.ordem2, r.ordem3, r.n_adicao, r.grupo_pai) for r in got["adi"]) == [(1, 1, 1, "1", "di"), (1, 1, 2, "2", "di")]
+    assert {r.objeto_pai for r in got["adi"]} == {got["di"][0].objeto} and got["di"][0].objeto_pai == got["det"][0].objeto == got["rastro"][0].objeto_pai
+    assert got["di"][0].campos == {"nDI": "d", "xLoc": "porto"} and got["lacres"][0].objeto_pai == got["vol"][0].objeto
+    assert (got["nfref"][0].ref_nfe, got["dup"][0].v_dup, got["detpag"][0].t_pag, got["vol"][0].q_vol, got["rastro"][0].n_lote) == ("9", "5", "01", "3", "L")
