@@ -77,15 +77,22 @@ class Shredder:
 
     def parse(self, text: str) -> tuple[list[tuple], dict[str, tuple[str, str]], str | None]:
         """(occurrences, objects, error). An occurrence is (group, ordinals, id, parent group, slot of the parent)."""
-        # a frame: [name, attributes, canonical parts, text, counters, trie node or None, group, ordinals, parent slot, slot, fields]
+        # a frame: [name, attributes, canonical parts, text, counters, trie node or None, group, ordinals, parent slot, slot, fields, siblings seen by name]
         stack: list[list] = []
         occurrences: list[list] = []
         objects: dict[str, tuple[str, str]] = {}
         trie, root, payload = self.trie, self.root, self.payload
 
+        def gather(fields: dict, key: str, value: str) -> None:
+            if key in fields:
+                have = fields[key]
+                fields[key] = [*have, value] if isinstance(have, list) else [have, value]
+            else:
+                fields[key] = value
+
         def start(name: str, attributes: list[str]) -> None:
             name = name.rpartition(" ")[2]
-            frame = [name, attributes, [], None, None, None, None, (), -1, -1, {} if payload else None]
+            frame = [name, attributes, [], None, None, None, None, (), -1, -1, {} if payload else None, {}]
             if stack:
                 above = stack[-1]
                 node = above[5]
@@ -113,7 +120,7 @@ class Shredder:
 
         def end(name: str) -> None:
             frame = stack.pop()
-            name, attributes, parts, text, _, _, group, _, _, slot, fields = frame
+            name, attributes, parts, text, _, _, group, _, _, slot, fields, _ = frame
             text = text.strip() if text else ""
             if attributes:
                 pairs = sorted((attributes[k].rpartition(" ")[2], attributes[k + 1]) for k in range(0, len(attributes), 2))
@@ -121,7 +128,8 @@ class Shredder:
             if not parts:  # a leaf is written into its parent
                 piece = f"<{name}|{len(text)}:{text}"
                 if fields is not None and stack and (above := stack[-1][10]) is not None:
-                    above[name] = text if name not in above else ([*above[name], text] if isinstance(above[name], list) else [above[name], text])
+                    gather(above, name, text)
+                    stack[-1][11][name] = stack[-1][11].get(name, 0) + 1
                 if slot < 0:
                     if stack:
                         stack[-1][2].append(piece)
@@ -129,17 +137,21 @@ class Shredder:
                 digest = blake2b(piece.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
             else:
                 digest = blake2b(f"<{name}|{len(text)}:{text}|{''.join(parts)}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+            if fields is not None:
+                for k in range(0, len(attributes), 2):
+                    fields["@" + attributes[k].rpartition(" ")[2]] = attributes[k + 1]
+                if text:
+                    fields["#"] = text
             if slot >= 0:
                 occurrences[slot][2] = digest
                 if fields is not None and digest not in objects:
-                    for k in range(0, len(attributes), 2):
-                        fields["@" + attributes[k].rpartition(" ")[2]] = attributes[k + 1]
-                    if text:
-                        fields["#"] = text
                     objects[digest] = (group, json.dumps(fields, sort_keys=True, ensure_ascii=False))
             elif fields and stack and (above := stack[-1][10]) is not None:
+                seen = stack[-1][11]
+                seen[name] = k = seen.get(name, 0) + 1
+                at = name if k == 1 else f"{name}[{k}]"  # a repeated element's values stay together
                 for key, value in fields.items():
-                    above.setdefault(f"{name}.{key}", value)
+                    above[at if key == "#" else f"{at}.{key}"] = value
             if stack:
                 stack[-1][2].append(f"#{name}{digest}")
 

@@ -26,7 +26,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_objects(spark: SparkSession, d: str) -> DataFrame:
     """How often each stored object occurs."""
-    found = _shredded(spark, d, True)
+    found = cut(_shredded(spark, d, True), "shredded")  # parsed once for objects and bridge
     uses = shred.bridge(found).groupBy("objeto").agg(F.count(F.lit(1)).alias("usos"))
     return shred.objects(found).join(uses, "objeto").groupBy("grupo").agg(F.count(F.lit(1)).alias("objetos"), F.sum("usos").alias("usos"), F.max("usos").alias("mais_usos"))
 

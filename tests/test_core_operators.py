@@ -293,3 +293,12 @@ def test_a_flat_table_per_group(spark, monkeypatch):
     assert {r.objeto_pai for r in got["adi"]} == {got["di"][0].objeto} and got["di"][0].objeto_pai == got["det"][0].objeto == got["rastro"][0].objeto_pai
     assert got["di"][0].campos == {"nDI": "d", "xLoc": "porto"} and got["lacres"][0].objeto_pai == got["vol"][0].objeto
     assert (got["nfref"][0].ref_nfe, got["dup"][0].v_dup, got["detpag"][0].t_pag, got["vol"][0].q_vol, got["rastro"][0].n_lote) == ("9", "5", "01", "3", "L")
+
+
+def test_stored_objects_keep_nested_values():
+    import json
+
+    text = '<infNFe><autXML><CNPJ>1</CNPJ></autXML><autXML><CNPJ>2</CNPJ></autXML><infAdic><obsCont xCampo="a"><xTexto>t</xTexto></obsCont><obsCont xCampo="b"><xTexto>u</xTexto></obsCont><nota tipo="x">texto</nota></infAdic></infNFe>'
+    _, objects, _ = shred.Shredder(shred.NFE, True).parse(text)
+    [(_, fields)] = objects.values()
+    assert json.loads(fields) == {"autXML.CNPJ": "1", "autXML[2].CNPJ": "2", "infAdic.obsCont.@xCampo": "a", "infAdic.obsCont[2].@xCampo": "b", "infAdic.obsCont.xTexto": "t", "infAdic.obsCont[2].xTexto": "u", "infAdic.nota": "texto", "infAdic.nota.@tipo": "x"}
