@@ -169,6 +169,27 @@ def test_control_chart(spark):
     assert control_chart.flag(df.limit(0), ["s"], "d", "v").count() == 0
 
 
+def test_control_chart_of_a_crowded_source(spark):
+    """Hundreds of readings a date, some far off on most dates and on both sides: the others are the usual ones."""
+    rng = random.Random(7)
+    data, bad = [], set()
+    for d in range(30):
+        for k in range(500):
+            n = len(data)
+            v = round((5 + 0.02 * d) * rng.uniform(0.93, 1.07), 3)
+            if rng.random() < 0.004:
+                bad.add(n)
+                v = rng.choice([v * 10, v / 10, v * 1.9, v * 0.45])
+            data.append((n, "crowd", day(d), v))
+    for n, v in ((1, 5.0), (2, 5.1), (3, 60.0)):  # too few dates for a chart
+        data.append((-n, "few", day(0), v))
+    data += [(-10 - k, "runs", day(k), 4.0) for k in range(9)] + [(-30, "runs", day(4), 0.0)]  # the impossible price ends the run
+    data += [(-40 - k, "zero", day(k), 0.0) for k in range(5)]
+    df = spark.createDataFrame(data, "id int, s string, d date, v double")
+    got = {r.id for r in control_chart.flag(df, ["s"], "d", "v").collect()}
+    assert got == bad | {-3, -30} | {-40 - k for k in range(5)}
+
+
 GOOD = "S;SP;X;R;1;A;1;;B;8;ETANOL;04/07/2025;5,52;;R$;RU"
 LINES = {
     GOOD: None,
