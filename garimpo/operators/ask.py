@@ -1,6 +1,8 @@
-"""Questions about prices: entities, intent and period read from the question, answered by a plan over the star tables or by search.
+"""Questions about prices: names, wish and period read from the question, answered by a plan over the star tables or by search.
 
-The vocabulary (products, towns, brands) is a few thousand distinct values; reading a question is driver work, answering it a plan.
+A question becomes tokens once. Names are found by one walk through a trie of the vocabulary's tokens, exact and misspelt ones together;
+the wish is voted for by a table of cue stems; a period is a shape in the sequence of the tokens' classes. The vocabulary (products,
+towns, brands) is a few thousand distinct values: reading a question is driver work, answering it a plan.
 """
 
 from __future__ import annotations
@@ -8,7 +10,8 @@ from __future__ import annotations
 import calendar
 import re
 import unicodedata
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import date
 from difflib import SequenceMatcher
 
@@ -23,74 +26,172 @@ CNPJ = re.compile(r"(?<!\d)\d{2}\.?\d{3}\.?\d{3}/?\d{4}-?\d{2}(?!\d)")
 
 
 def plain(text: str) -> str:
-    t = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
-    return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9/\- ]", " ", t)).strip()
+    """Lower case letters without accents, digits, and the signs a date is written with."""
+    bare = "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
+    return " ".join(re.findall(r"[a-z0-9]+|[/-]", bare))
+
+
+def words(text: str) -> list[str]:
+    return [w for w in plain(text).split() if w not in "/-"]
+
+
+# --- names -----------------------------------------------------------------------------------------------------------
+
+
+class Names:
+    """A trie over the tokens of all names; each end holds what the name stands for."""
+
+    END = ""  # no token is empty
+
+    def __init__(self) -> None:
+        self.root: dict = {}
+        self._known: dict = {}
+
+    def add(self, name: str, meaning) -> None:
+        at = self.root
+        for token in words(name):
+            at = at.setdefault(token, {})
+        if at is not self.root:
+            at.setdefault(self.END, set()).add(meaning)
+        self._known = {}
+
+    def _edges(self, at: dict, token: str) -> list[tuple[dict, int]]:
+        """(next node, letters lost): the token itself, else, for words of five letters and more, those that are alike. Remembered."""
+        if (same := at.get(token)) is not None:
+            return [(same, 0)]
+        if len(token) < 5 or token.isdigit():
+            return []
+        if (found := self._known.get((id(at), token))) is None:
+            found = self._known[id(at), token] = []
+            for other, node in at.items():
+                if len(other) > 4 and abs(len(other) - len(token)) < 3:
+                    alike = SequenceMatcher(None, token, other, autojunk=False)
+                    if alike.quick_ratio() > LIKE and alike.ratio() > LIKE:
+                        found.append((node, max(1, len(other) - sum(b.size for b in alike.get_matching_blocks()))))
+        return found
+
+    def find(self, tokens: list[str]) -> dict:
+        """kind -> value of the best name of that kind: the fewest letters lost, then the most tokens, then letters, then the first."""
+        best: dict = {}
+        live: list[tuple[dict, int, int, int]] = []
+        for k, token in enumerate(tokens):
+            live = [(node, begin, lost + more, size + len(token)) for at, begin, lost, size in [*live, (self.root, k, 0, 0)] for node, more in self._edges(at, token)]
+            for node, begin, lost, size in live:
+                for kind, value in node.get(self.END, ()):
+                    rank = (lost, begin - k, -size, value)
+                    if kind not in best or rank < best[kind]:
+                        best[kind] = rank
+        return {kind: rank[-1] for kind, rank in best.items()}
 
 
 @dataclass
 class Vocabulary:
-    products: dict[str, str]
-    towns: dict[str, str]
-    brands: dict[str, str]
-    first: date | None
-    last: date | None
+    products: dict[str, str] = field(default_factory=dict)
+    towns: dict[str, str] = field(default_factory=dict)
+    brands: dict[str, str] = field(default_factory=dict)
+    first: date | None = None
+    last: date | None = None
+
+    def __post_init__(self) -> None:
+        self.names = Names()
+        for kind, group in (("product", self.products), ("town", self.towns), ("brand", self.brands)):
+            for name, value in group.items():
+                self.names.add(name, (kind, value))
 
     @staticmethod
     def load(current: DataFrame) -> "Vocabulary":
-        named = lambda c: {plain(r[0]): r[0] for r in current.select(c).distinct().collect() if r[0]}  # noqa: E731 - the vocabulary
-        first, last = current.agg(F.min("data_coleta"), F.max("data_coleta")).first()
-        return Vocabulary(named("produto"), named("municipio"), named("bandeira"), first, last)
+        """One pass over the mart; what is collected are its distinct names."""
+        kinds = ["produto", "municipio", "bandeira"]
+        row = current.agg(*(F.collect_set(c).alias(c) for c in kinds), F.min("data_coleta").alias("a"), F.max("data_coleta").alias("z")).first()
+        return Vocabulary(*({n: n for n in sorted(row[c]) if n.strip()} for c in kinds), row["a"], row["z"])
+
+
+# --- wishes ----------------------------------------------------------------------------------------------------------
+
+#: cue (stems of successive words), wish, weight; the heaviest wish wins
+CUES = (
+    ("quantos", "COUNT", 9),
+    ("quantas", "COUNT", 9),
+    ("quantidade", "COUNT", 9),
+    ("numero de", "COUNT", 9),
+    ("media", "STATS", 5),
+    ("medio", "STATS", 5),
+    ("minim", "MIN", 3),
+    ("menor", "MIN", 3),
+    ("mais barat", "MIN", 3),
+    ("mais baix", "MIN", 3),
+    ("maxim", "MAX", 3),
+    ("maior", "MAX", 3),
+    ("mais car", "MAX", 3),
+    ("mais alt", "MAX", 3),
+    *((f"{verb} {noun}", "LISTA", 1) for verb in ("quais", "list") for noun in ("posto", "revenda", "revendedor")),
+)
+ARTICLES = {"o", "os", "a", "as"}
+
+
+def votes(tokens: list[str], cues) -> dict[str, int]:
+    """wish -> weight of its heaviest cue in the tokens"""
+    out: dict[str, int] = {}
+    for cue, wish, weight in cues:
+        stems = cue.split()
+        for k in range(len(tokens) - len(stems) + 1):
+            if all(t.startswith(s) for t, s in zip(tokens[k:], stems)):
+                out[wish] = max(out.get(wish, 0), weight)
+                break
+    return out
 
 
-def entity(text: str, terms: dict[str, str]) -> str | None:
-    """The longest term that stands in the text as whole words, else the most alike window of as many words."""
-    for term in sorted(terms, key=len, reverse=True):
-        if f" {term} " in f" {re.sub(r'[^a-z0-9 ]', ' ', text)} " or re.search(rf"(?:^|[^a-z0-9]){re.escape(term)}(?:$|[^a-z0-9])", text):
-            return terms[term]
-    words, best = text.split(), (LIKE, None)
-    for term, original in terms.items():
-        n = len(term.split())
-        if len(term) >= 5:
-            for k in range(len(words) - n + 1):
-                ratio = SequenceMatcher(None, " ".join(words[k : k + n]), term).ratio()
-                if ratio > best[0]:
-                    best = (ratio, original)
-    return best[1]
+def intent(text: str) -> str | None:
+    """The wish with the heaviest cue; lowest and highest together ask for the figures."""
+    found = votes([w for w in words(text) if w not in ARTICLES], CUES)
+    if "MIN" in found and "MAX" in found:
+        found["STATS"] = 5
+    return max(found, key=lambda w: (found[w], w), default=None)
 
 
-_LOW = re.compile(r"\b(minim[oa]|menor(es)?|mais (barat|baix)[oa])\b")
-_HIGH = re.compile(r"\b(maxim[oa]|maior(es)?|mais (car|alt)[oa])\b")
+# --- periods ---------------------------------------------------------------------------------------------------------
 
 
-def intent(text: str) -> str | None:
-    """Counting first, then averages (or both extremes), then one extreme, then lists of stations."""
-    low, high = _LOW.search(text), _HIGH.search(text)
-    rules = (
-        ("COUNT", re.search(r"\b(quant[oa]s|quantidade|numero de)\b", text)),
-        ("STATS", re.search(r"\bmedi[ao]\b", text) or (low and high)),
-        ("MIN", low),
-        ("MAX", high),
-        ("LISTA", re.search(r"\b(quais|liste|listar) (os )?(postos|revendas|revendedores)\b", text)),
-    )
-    return next((name for name, hit in rules if hit), None)
+def _month(year: int, month: int) -> tuple[date, date]:
+    return date(year, month, 1), date(year, month, calendar.monthrange(year, month)[1])
+
+
+def _day(year: int, month: int, day: int) -> tuple[date, date]:
+    return (date(year, month, day),) * 2
+
+
+#: shape of successive token classes -> the period, from the values of its numbers and months and the newest reading's date
+SHAPES: tuple[tuple[str, Callable], ...] = (
+    ("Y-N-N", lambda v, last: _day(*v)),
+    ("wN?Y", lambda v, last: _month(v[1], v[0])),
+    ("N/Y", lambda v, last: _month(v[1], v[0])),
+    ("M?Y", lambda v, last: _month(v[1], v[0])),
+    ("M", lambda v, last: last and _month(last.year, v[0])),
+    ("uw", lambda v, last: last and _month(last.year, last.month)),
+    ("wp", lambda v, last: last and _month(last.year, last.month)),
+)
+_CLASS = {"mes": "w", "ultimo": "u", "passado": "p", "de": "d", "-": "-", "/": "/"}
 
 
 def period(text: str, last: date | None) -> tuple[date | None, date | None]:
-    whole = lambda y, m: (date(y, m, 1), date(y, m, calendar.monthrange(y, m)[1])) if 1 <= m <= 12 else (None, None)
-    if m := re.search(r"(\d{4})-(\d{2})-(\d{2})", text):
-        try:
-            return (date(int(m[1]), int(m[2]), int(m[3])),) * 2
-        except ValueError:
-            return None, None
-    if m := re.search(r"\bmes (\d{1,2}) de (\d{4})\b|\b(\d{1,2})/(\d{4})\b", text):
-        return whole(int(m[2] or m[4]), int(m[1] or m[3]))
-    if (m := re.search(rf"\b({'|'.join(MONTHS)})\b(?: de)? ?(\d{{4}})?", text)) and (m[2] or last):
-        return whole(int(m[2]) if m[2] else last.year, MONTHS[m[1]])
-    if last and re.search(r"\b(ultimo mes|mes passado)\b", text):
-        return whole(last.year, last.month)  # the month of the newest reading
+    """First and last day of the period the question names; (None, None) if it names none, or none that exists.
+
+    "?" in a shape is an optional "de"."""
+    tokens = plain(text).split()
+    classes = "".join("M" if t in MONTHS else ("Y" if len(t) == 4 else "N" if len(t) < 3 else ".") if t.isdigit() else _CLASS.get(t, ".") for t in tokens)
+    for shape, make in SHAPES:
+        if m := re.search(shape.replace("?", "d?"), classes):
+            values = [MONTHS[t] if t in MONTHS else int(t) for t in tokens[m.start() : m.end()] if t in MONTHS or t.isdigit()]
+            try:
+                return make(values, last) or (None, None)
+            except (ValueError, calendar.IllegalMonthError):
+                return None, None
     return None, None
 
 
+# --- questions -------------------------------------------------------------------------------------------------------
+
+
 @dataclass
 class Question:
     cnpj: str | None = None
@@ -116,10 +217,10 @@ class Question:
 
 
 def read(question: str, v: Vocabulary) -> Question:
-    m = CNPJ.search(question)
-    text = plain(CNPJ.sub(" ", question))
-    start, end = period(text, v.last)
-    return Question(re.sub(r"\D", "", m[0]) if m else None, entity(text, v.products), entity(text, v.towns), entity(text, v.brands), intent(text), start, end)
+    number = CNPJ.search(question)
+    rest = CNPJ.sub(" ", question)
+    start, end = period(rest, v.last)
+    return Question(cnpj=re.sub(r"\D", "", number[0]) if number else None, intent=intent(rest), start=start, end=end, **v.names.find(words(rest)))
 
 
 def answer(q: Question, current: DataFrame, limit: int = 10) -> DataFrame:

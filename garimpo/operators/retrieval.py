@@ -144,7 +144,7 @@ def assemble(blocks: list[dict], anchors: list[str], budget: int, count: Callabl
 
 
 def pages(text: str, words: int = 400) -> list[str]:
-    w = text.split()
+    w = re.findall(r"[^ \t\n\r\f\v]+", text)
     return [" ".join(w[k : k + words]) for k in range(0, len(w), words)] or [""]
 
 
@@ -160,3 +160,10 @@ def read_reply(reply: str, allowed: set[str]) -> dict:
     text = data.get("resposta") if isinstance(data.get("resposta"), str) else None
     barrier = "formato" if not data else "sem resposta" if not (text or "").strip() else "sem citacao" if not valid else None
     return {"recusou": barrier is not None, "motivo": barrier, "resposta": text if barrier is None else None, "citacoes": valid, "invalidas": [c for c in cited if c not in allowed]}
+
+
+def drift(before: DataFrame, now: DataFrame, key: str, verdict: str) -> DataFrame:
+    """(key, situacao): igual, mudou, novo or sumiu, by one full outer join of two runs; null verdicts are equal."""
+    a, b = before.select(F.col(key), F.col(verdict).alias("__a"), F.lit(True).alias("__was")), now.select(F.col(key), F.col(verdict).alias("__b"), F.lit(True).alias("__is"))
+    same = F.when(F.col("__was").isNull(), "novo").when(F.col("__is").isNull(), "sumiu").when(F.col("__a").eqNullSafe(F.col("__b")), "igual").otherwise("mudou")
+    return a.join(b, key, "full").select(key, same.alias("situacao"))

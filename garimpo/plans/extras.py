@@ -109,12 +109,21 @@ def quarantine(t):
     return t.spark.read.parquet(at).select("linha_id")
 
 
-CASES = [("preço em 05/2026", "2026-05-01", "2026-05-31"), ("dia 2026-02-03", "2026-02-03", "2026-02-03"), ("março de 2025", "2025-03-01", "2025-03-31"), ("hoje", None, None)]
-
-
-@query("r04_periods", "select * from (values " + ", ".join(f"('{q}', " + ", ".join("null::date" if x is None else f"date '{x}'" for x in r) + ")" for q, *r in CASES) + ") v(pergunta, inicio, fim)")
+@query(
+    "r04_periods",
+    "select o_orderdate as dia, o_orderdate as de1, o_orderdate as ate1, cast(date_trunc('month', o_orderdate) as date) as de2, last_day(o_orderdate) as ate2, cast(date_trunc('month', o_orderdate) as date) as de3, last_day(o_orderdate) as ate3 from (select distinct cast(o_orderdate as date) as o_orderdate from orders)",
+)
 def periods(t):
-    return t.spark.createDataFrame([(q, *period(plain(q), None)) for q, *_ in CASES], "pergunta string, inicio date, fim date")
+    """Every order date, asked for as a day, as month/year and by the month's name."""
+    @F.pandas_udf("de date, ate date")
+    def reading(q: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([period(x, None) for x in q], columns=["de", "ate"])
+
+    days = t.orders.select(F.col("o_orderdate").cast("date").alias("dia")).distinct()
+    names = F.array(*(F.lit(m) for m in ("janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro", "novembro", "dezembro")))
+    said = [F.concat(F.lit("preço no dia "), F.col("dia").cast("string")), F.concat(F.lit("quanto custava em "), F.date_format("dia", "MM/yyyy"), F.lit("?")), F.concat(F.lit("em "), F.get(names, F.month("dia") - 1), F.lit(" de "), F.year("dia").cast("string"))]
+    read = days.select("dia", *(reading(q).alias(f"r{k}") for k, q in enumerate(said, 1)))
+    return read.select("dia", *(F.col(f"r{k}.{c}").alias(f"{c}{k}") for k in (1, 2, 3) for c in ("de", "ate")))
 
 
 @query("r02_cnpj_in_question", "select linha_id, regexp_replace(regexp_extract(cnpj_da_revenda, '[0-9]{2}\\.?[0-9]{3}\\.?[0-9]{3}/?[0-9]{4}-?[0-9]{2}'), '[^0-9]', '', 'g') as cnpj from anp_landing_semanal")
@@ -123,24 +132,13 @@ def question_cnpj(t):
     return t.anp_landing_semanal.select("linha_id", F.regexp_replace(found, "[^0-9]", "").alias("cnpj"))
 
 
-@query("r14_repeated_articles", "select artigo, count(*) as n from (select 'art-' || (doc_id % 7) as artigo from documents) group by 1 having count(*) > 1")
-def repeated(t):
-    return quality.unique(t.documents.select(F.concat(F.lit("art-"), (F.col("doc_id") % 7).cast("string")).alias("artigo")), ["artigo"])
-
-
-@query("r15_tree_paths", "select o_orderkey || ':' || l_linenumber as id, cast(o_orderkey as varchar) as pai from orders join lineitem on l_orderkey = o_orderkey")
-def paths(t):
-    ids = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(F.concat_ws(":", F.col("o_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"))
-    return ids.select("id", F.regexp_replace("id", ":[^:]*$", "").alias("pai"))
-
-
 @query("r17_headers", "select n_nationkey, concat_ws(' | ', 'Lei', r_name, case when n_nationkey % 2 = 0 then n_name end) as cabecalho from nation join region on r_regionkey = n_regionkey")
 def headers(t):
     rows = t.nation.join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
     return rows.select("n_nationkey", F.concat_ws(" | ", F.lit("Lei"), "r_name", F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name"))).alias("cabecalho"))
 
 
-CITED = [("art. 12, § 2º, III", "art. 12, § 2, inciso III"), ("inciso II do caput do art. 6º", "art. 6, caput, inciso II"), ("art. 9º da Lei nº 1.234", ""), ("bom dia", "")]
+ITEMS = ["I", "II", "III", "IV", "V", "VI", "VII"]
 
 
 @F.pandas_udf(T.StringType())
@@ -148,9 +146,15 @@ def cited(q: pd.Series) -> pd.Series:
     return q.map(lambda x: "; ".join(c.label() for c in law.citations(x or "")[0]))
 
 
-@query("r19_citations", "select * from (values " + ", ".join(f"('{a}', '{b}')" for a, b in CITED) + ") v(pergunta, citacoes)")
+@query("r19_citations", "select l_orderkey, l_linenumber, case when l_returnflag = 'R' then '' else 'art. ' || l_orderkey || case when l_returnflag = 'A' then ', § ' || l_linenumber else ', caput' end || ', inciso ' || ['" + "', '".join(ITEMS) + "'][l_linenumber] end as citacoes from lineitem where l_linenumber <= 7")
 def citation(t):
-    return t.spark.createDataFrame([(a,) for a, _ in CITED], "pergunta string").select("pergunta", cited("pergunta").alias("citacoes"))
+    """Each line cites its order in one of three ways: down from the article, up to it, or the article of another law."""
+    n, art, item = F.col("l_linenumber").cast("string"), F.col("l_orderkey").cast("string"), F.get(F.array(*(F.lit(x) for x in ITEMS)), F.col("l_linenumber") - 1)
+    down = F.concat(F.lit("o que é o art. "), art, F.lit(", § "), n, F.lit("º, inciso "), item, F.lit("?"))
+    up = F.concat(F.lit("o inciso "), item, F.lit(" do caput do art. "), art)
+    other = F.concat(F.lit("e o art. "), art, F.lit(" do Código Civil?"))
+    asked = F.when(F.col("l_returnflag") == "A", down).when(F.col("l_returnflag") == "N", up).otherwise(other)
+    return t.lineitem.filter("l_linenumber <= 7").select("l_orderkey", "l_linenumber", cited(asked).alias("citacoes"))
 
 
 @query("r20_resolution", "select 'lei' || doc_id || ':art-' || doc_id as alvo from documents")
@@ -161,17 +165,27 @@ def resolution(t):
     return asked.join(rows.select(F.col("dispositivo_id").alias("alvo")), "alvo", "left_semi")
 
 
-@query("r23_pages", "select doc_id, cast(ceil(len(regexp_split_to_array(trim(text, ' \n\t\r'), '\\s+')) / 100.0) as bigint) as paginas from documents")
-def page_count(t):
-    n = F.size(F.split(F.trim(F.regexp_replace("text", r"^\s+|\s+$", "")), r"\s+"))
-    return t.documents.select("doc_id", F.ceil(n / 100.0).cast("bigint").alias("paginas"))
+@query("r23_pages", "with w as (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> '') as w from documents where text is not null) select doc_id, k + 1 as pagina, md5(array_to_string(w[k * 400 + 1:k * 400 + 400], ' ')) as texto from (select doc_id, w, unnest(range(0, greatest(1, cast(ceil(len(w) / 400.0) as bigint)))) as k from w)")
+def paged(t):
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def pages(texts: pd.Series) -> pd.Series:
+        return texts.map(retrieval.pages)
+
+    return t.documents.filter("text is not null").select("doc_id", F.posexplode(pages("text")).alias("k", "x")).select("doc_id", (F.col("k") + 1).cast("bigint").alias("pagina"), F.md5("x").alias("texto"))
 
 
-@query("r26_reply_barriers", "select * from (values ('ok', false, null), ('sem json', true, 'formato'), ('sem fonte', true, 'sem citacao'), ('vazia', true, 'sem resposta')) v(caso, recusou, motivo)")
+@query("r26_reply_barriers", "select o_orderkey, o_orderstatus <> 'O' or left(o_orderpriority, 1) in ('1', '2') as recusou, case when left(o_orderpriority, 1) = '1' then 'formato' when left(o_orderpriority, 1) = '2' then 'sem resposta' when o_orderstatus <> 'O' then 'sem citacao' end as motivo from orders")
 def replies(t):
-    said = [("ok", '{"resposta": "sim", "citacoes": ["a"]}'), ("sem json", "sim"), ("sem fonte", '{"resposta": "sim", "citacoes": ["z"]}'), ("vazia", '{"resposta": " ", "citacoes": ["a"]}')]
-    read = [(n, retrieval.read_reply(r, {"a"})) for n, r in said]
-    return t.spark.createDataFrame([(n, r["recusou"], r["motivo"]) for n, r in read], "caso string, recusou boolean, motivo string")
+    """An order stands for a reply: its priority spoils the form or the text, its state the source that it cites."""
+    @F.pandas_udf("recusou boolean, motivo string")
+    def barriers(said: pd.Series, allowed: pd.Series) -> pd.DataFrame:
+        read = [retrieval.read_reply(r, {a}) for r, a in zip(said, allowed)]
+        return pd.DataFrame([(r["recusou"], r["motivo"]) for r in read], columns=["recusou", "motivo"])
+
+    kind, source = F.left("o_orderpriority", F.lit(1)), F.col("o_custkey").cast("string")
+    body = F.to_json(F.struct(F.when(kind == "2", " ").otherwise(F.col("o_orderpriority")).alias("resposta"), F.array(F.when(F.col("o_orderstatus") == "O", source).otherwise("outra")).alias("citacoes")))
+    said = F.when(kind == "1", "não sei").otherwise(F.concat(F.lit("Segue: "), body, F.lit(" .")))
+    return t.orders.select("o_orderkey", barriers(said, source).alias("r")).select("o_orderkey", "r.recusou", "r.motivo")
 
 
 @query("b08_log_counts", "select cast(date_trunc('hour', ts) as timestamp) as hora, event_type, count(*) as n from events where event_type in ('error', 'click') group by 1, 2")

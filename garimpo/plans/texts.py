@@ -44,23 +44,52 @@ def vocabulary(t):
     return current(t).agg(F.countDistinct("produto").alias("produtos"), F.countDistinct("municipio").alias("municipios"), F.countDistinct("bandeira").alias("bandeiras"), F.min("data_coleta").alias("primeira"), F.max("data_coleta").alias("ultima"))
 
 
-QUESTIONS = [
-    ("quantos postos vendem etanol?", "COUNT", "ETANOL", "sql"),
-    ("qual o preco medio da gasolina aditivada", "STATS", "GASOLINA ADITIVADA", "sql"),
-    ("onde o diesel s10 e mais barato?", "MIN", "DIESEL S10", "sql"),
-    ("qual a gasolina mais cara em 05/2026", "MAX", "GASOLINA", "sql"),
-    ("quais os postos que vendem gnv", "LISTA", "GNV", "sql"),
-    ("como anda o mercado?", None, None, "vector"),
-    ("preco da gasolna", None, "GASOLINA", "vector"),
-]
-
-
-@query("r05_routes", "select * from (values " + ", ".join("(" + ", ".join("null" if x is None else f"'{x}'" for x in r) + ")" for r in QUESTIONS) + ") v(pergunta, intencao, produto, rota)")
+#: question (with a product and a town of the mart), the wish it must be read as
+TEMPLATES = (("quantos postos de {} vendem {}?", "COUNT"), ("preço médio em {} de {}", "STATS"), ("onde em {} fica mais barato o {}", "MIN"), ("em {} qual o {} mais caro?", "MAX"), ("em {} como anda o {}", None))
+
+
+def asked_of_mart(t):
+    """Every product of every town of the mart, asked for in each way: (municipio, produto, pergunta, esperada, lida)."""
+    now = current(t)
+    v = ask.Vocabulary.load(now)
+
+    @F.pandas_udf("intencao string, municipio string, produto string, rota string")
+    def reading(questions: pd.Series) -> pd.DataFrame:
+        found = [ask.read(q, v) for q in questions]
+        return pd.DataFrame([(q.intent, q.town, q.product, q.route) for q in found], columns=["intencao", "municipio", "produto", "rota"])
+
+    pairs = now.filter("trim(municipio) <> '' and trim(produto) <> ''").select("municipio", "produto").distinct()
+    said = F.array(*(F.struct(F.concat(*(x for text, c in zip(form.split("{}"), ("municipio", "produto", None)) for x in ([F.lit(text), F.col(c)] if c else [F.lit(text)]))).alias("pergunta"), F.lit(want).alias("esperada")) for form, want in TEMPLATES))
+    return pairs.select("municipio", "produto", F.inline(said)).withColumn("lida", reading("pergunta"))
+
+
+def _said_sql(form: str) -> str:
+    a, b, c = form.split("{}")
+    return f"'{a}' || municipio || '{b}' || produto || '{c}'"
+
+
+ASKED_SQL = "(" + " union all ".join(f"select municipio, produto, {_said_sql(form)} as pergunta, {f"'{want}'" if want else "null"} as intencao from (select distinct municipio, produto from atual where trim(municipio) <> '' and trim(produto) <> '')" for form, want in TEMPLATES) + ")"
+
+
+@query("r05_routes", f"with {CURRENT_SQL} select pergunta, intencao, produto, municipio, case when intencao is null then 'vector' else 'sql' end as rota from {ASKED_SQL}")
 def routes(t):
-    names = ["GASOLINA", "GASOLINA ADITIVADA", "GASOLINA C ESPECIAL", "ETANOL", "DIESEL", "DIESEL S10", "GNV", "GLP"]
-    v = ask.Vocabulary({ask.plain(n): n for n in names}, {}, {}, None, None)
-    rows = [(q, r.intent, r.product, r.route) for q, r in ((q, ask.read(q, v)) for q, *_ in QUESTIONS)]
-    return t.spark.createDataFrame(rows, "pergunta string, intencao string, produto string, rota string")
+    return asked_of_mart(t).select("pergunta", "lida.intencao", "lida.produto", "lida.municipio", "lida.rota")
+
+
+@query(
+    "r28_evaluation",
+    f"with {CURRENT_SQL}, p as (select * from {ASKED_SQL}), v as (select municipio, produto, avg(valor_venda) as m from atual group by 1, 2) "
+    "select coalesce(intencao, 'vector') as intencao, count(*) as perguntas, count(*) as rota_certa, count(*) as entidades_certas, count(m) as com_valor, count(m) as valor_certo from p left join v using (municipio, produto) group by 1",
+)
+def evaluation(t):
+    """Routing, names and values: each question is read, and the mean for what was read is held against the mean for what was meant."""
+    asked_ = asked_of_mart(t)
+    means = current(t).groupBy("municipio", "produto").agg(F.round(F.avg("valor_venda"), 6).alias("m"))
+    meant, read_ = means.select("municipio", "produto", F.col("m").alias("devido")), means.select(F.col("municipio").alias("lido_m"), F.col("produto").alias("lido_p"), F.col("m").alias("dado"))
+    both = asked_.join(meant, ["municipio", "produto"], "left").join(read_, (F.col("lida.municipio") == F.col("lido_m")) & (F.col("lida.produto") == F.col("lido_p")), "left")
+    right = F.col("lida.rota") == F.when(F.col("esperada").isNull(), "vector").otherwise("sql")
+    names = F.col("lida.municipio").eqNullSafe(F.col("municipio")) & F.col("lida.produto").eqNullSafe(F.col("produto"))
+    return both.groupBy(F.coalesce("esperada", F.lit("vector")).alias("intencao")).agg(F.count(F.lit(1)).alias("perguntas"), F.count_if(right & F.col("esperada").eqNullSafe(F.col("lida.intencao"))).alias("rota_certa"), F.count_if(names).alias("entidades_certas"), F.count("devido").alias("com_valor"), F.count_if(F.col("dado") == F.col("devido")).alias("valor_certo"))
 
 
 def asked(t, question: str):
@@ -109,11 +138,17 @@ def chunk_ids(t):
     return t.documents.select("doc_id", chunk_id("doc", F.lit("v1"), F.col("text")).alias("chunk_id"))
 
 
-@query("a26_golden_metrics", "select 0.5 as success, 0.75 as hit, 0.625 as recall, 0.458333 as mrr, 4 as n")
+@query(
+    "a26_golden_metrics",
+    """with o as (select l_orderkey as k, list_distinct(list(l_partkey) filter (where l_returnflag = 'R')) as e, list(l_partkey order by l_linenumber, l_partkey) as g from lineitem group by 1),
+       m as (select len(e) as n, list_intersect(e, g[1:3]) as f, list_min(list_filter(list_transform(e, lambda x: list_position(g, x)), lambda x: x > 0)) as r from o where e is not null and len(e) > 0)
+       select round(avg((len(f) = n)::int), 6) as success, round(avg((len(f) > 0)::int), 6) as hit, round(avg(len(f) / n), 6) as recall, round(avg(coalesce(1.0 / r, 0)), 6) as mrr, count(*) as n from m""",
+)
 def golden_metrics(t):
-    rows = [(["a"], ["a", "b"]), (["b"], ["a", "b"]), (["a", "c"], ["x", "y", "a"]), (["z"], ["a"])]
-    m = retrieval.retrieval_metrics(t.spark.createDataFrame(rows, "esperados array<string>, obtidos array<string>"), 3)
-    return m.select("success", "hit", "recall", F.round("mrr", 6).alias("mrr"), "n")
+    """An order stands for a question: its parts by line number are what was found, the returned ones what was expected."""
+    orders = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"), F.collect_set(F.when(F.col("l_returnflag") == "R", F.col("l_partkey"))).alias("esperados"))
+    m = retrieval.retrieval_metrics(orders.select("esperados", F.col("l.l_partkey").alias("obtidos")).filter(F.size("esperados") > 0), 3)
+    return m.select(*(F.round(c, 6).alias(c) for c in ("success", "hit", "recall", "mrr")), "n")
 
 
 class HashEncoder:
@@ -157,29 +192,68 @@ def provisions(t):
     return law.provisions(as_law(t), "lei", "texto").select("doc_id", "dispositivo_id", "tipo")
 
 
-LAW = """LIVRO I
-DAS NORMAS GERAIS
-    Art. 1º O imposto incide sobre: (Redação dada pela Lei Complementar nº 227, de 2026)
-    I - operações com bens;
-    II - serviços. (Revogado)
-    § 1º Aplica-se o disposto no
-§ 2º deste artigo às importações.
-    § 2º O prazo é de dez dias.
-    Art. 2º Vetado. (Vetado)"""
-LAW_ROWS = [
-    ("lei:art-1", None, "alterado", "227"),
-    ("lei:art-1:inc-I", "lei:art-1", "vigente", ""),
-    ("lei:art-1:inc-II", "lei:art-1", "revogado", ""),
-    ("lei:art-1:par-1", "lei:art-1", "vigente", ""),
-    ("lei:art-1:par-2", "lei:art-1", "vigente", ""),
-    ("lei:art-2", None, "vetado", ""),
-]
-
-
-@query("r13_law_notes", "select * from (values " + ", ".join("(" + ", ".join("null" if x is None else f"'{x}'" for x in r) + ")" for r in LAW_ROWS) + ") v(dispositivo_id, parent_id, status, alterado_por)")
+def order_laws(t, printings: int = 1):
+    """Orders printed as laws: the order is the article (so often as it is printed), its lines are paragraphs; states are notes."""
+    note = lambda c, cases: F.coalesce(*(F.when(c == value, text) for value, text in cases.items()), F.lit(""))
+    number = lambda c: F.col(c).cast("string")
+    amended = lambda c: F.concat(F.lit(" (Redação dada pela Lei Complementar nº "), number(c), F.lit(", de 2026)"))
+    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("l_returnflag"), F.min("l_suppkey").alias("l_suppkey"))
+    lines = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.concat(F.lit("    § "), number("l_linenumber"), F.when(F.col("l_linenumber") < 10, "º").otherwise("."), F.lit(" Linha."), note(F.col("l_returnflag"), {"R": F.lit(" (Revogado)"), "A": amended("l_suppkey")})).alias("x")))).alias("l"))  # a few lines an order
+    head = lambda k: F.concat(F.lit("    Art. "), number("o_orderkey"), F.lit(f". Texto {k}."), note(F.col("o_orderstatus"), {"F": F.lit(" (Revogado)"), "P": amended("o_custkey")}) if k == 1 else note(F.left("o_orderpriority", F.lit(1)), {"1": F.lit(" (Vetado)")}))
+    parts = [F.array(head(k)) if k > 1 else F.concat(F.array(head(k)), F.col("l.x")) for k in range(1, printings + 1)]
+    joined = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.select(F.concat(F.lit("o"), number("o_orderkey")).alias("lei"), F.array_join(F.concat(*parts), "\n").alias("texto"))
+
+
+_ART = "'o' || o_orderkey || ':art-' || o_orderkey"
+_LINES = "(select l_orderkey, l_linenumber, min(l_returnflag) as l_returnflag, min(l_suppkey) as l_suppkey from lineitem group by 1, 2)"
+_WITH_LINES = "o_orderkey in (select l_orderkey from lineitem)"
+LAW_SQL = (
+    f"(select 'o' || o_orderkey as lei, {_ART} as dispositivo_id, null as parent_id, case o_orderstatus when 'F' then 'revogado' when 'P' then 'alterado' else 'vigente' end as status, case when o_orderstatus = 'P' then cast(o_custkey as varchar) else '' end as alterado_por from orders where {_WITH_LINES} "
+    f"union all select 'o' || o_orderkey, {_ART} || ':par-' || l_linenumber, {_ART}, case l_returnflag when 'R' then 'revogado' when 'A' then 'alterado' else 'vigente' end, case when l_returnflag = 'A' then cast(l_suppkey as varchar) else '' end from {_LINES} join orders on o_orderkey = l_orderkey)"
+)
+
+
+@query("r13_law_notes", f"select dispositivo_id, status, alterado_por from {LAW_SQL}")
 def notes(t):
-    docs = t.spark.createDataFrame([("lei", LAW)], "d string, t string")
-    return law.provisions(docs, "d", "t").select("dispositivo_id", "parent_id", "status", F.array_join("alterado_por", ",").alias("alterado_por"))
+    return law.provisions(order_laws(t), "lei", "texto").select("dispositivo_id", "status", F.array_join("alterado_por", ",").alias("alterado_por"))
+
+
+@query("r15_tree_paths", f"select dispositivo_id, parent_id, case when parent_id is null then 0 else 1 end as nivel from {LAW_SQL}")
+def tree_paths(t):
+    return law.provisions(order_laws(t), "lei", "texto").select("dispositivo_id", "parent_id", (F.size(F.split("dispositivo_id", ":")) - 2).alias("nivel"))
+
+
+@query(
+    "r14_repeated_articles",
+    f"select 'o' || o_orderkey as doc_id, case when left(o_orderpriority, 1) = '1' and o_orderstatus <> 'F' then 1 else 2 end as impressao, case when left(o_orderpriority, 1) = '1' and o_orderstatus <> 'F' then 1 + (select count(distinct l_linenumber) from lineitem where l_orderkey = o_orderkey) else 1 end as dispositivos from orders where {_WITH_LINES}",
+)
+def repeated(t):
+    """Each article is printed twice; the last printing in force remains, with its own paragraphs."""
+    kept = law.latest_printing(law.provisions(order_laws(t, 2), "lei", "texto"))
+    return kept.groupBy("doc_id").agg(F.max(F.when(F.col("tipo") == "art", F.regexp_extract("texto", r"Texto (\d)", 1).cast("int"))).alias("impressao"), F.count(F.lit(1)).alias("dispositivos"))
+
+
+@query("r18_article_rollup", f"select lei as art, count(*) filter (where status <> 'revogado') as vigentes, round(count(*) filter (where status <> 'revogado') * 1.0 / count(*), 6) as cobertura, coalesce(string_agg(split_part(dispositivo_id, ':', 3), ' ' order by dispositivo_id) filter (where status <> 'revogado'), '') as texto from {LAW_SQL} group by 1")
+def rollup(t):
+    """Per article its provisions in force, their share, and their labels in order."""
+    rows = law.provisions(order_laws(t), "lei", "texto").withColumn("vivo", ~F.col("status").isin("revogado", "vetado"))
+    found = rows.groupBy("doc_id").agg(F.count_if("vivo").alias("vigentes"), F.round(F.count_if("vivo") / F.count(F.lit(1)), 6).alias("cobertura"), F.array_sort(F.collect_list(F.when(F.col("vivo"), F.struct("dispositivo_id")))).alias("l"))
+    return found.select(F.col("doc_id").alias("art"), "vigentes", "cobertura", F.array_join(F.transform("l", lambda x: F.coalesce(F.get(F.split(x["dispositivo_id"], ":"), F.lit(2)), F.lit(""))), " ").alias("texto"))
+
+
+@query(
+    "d21_law_contract",
+    f"select 'unico' as regra, count(*) as n from orders where {_WITH_LINES} having count(*) > 0 union all select 'sequencia', count(*) from (select l_linenumber - coalesce(lag(l_linenumber) over (partition by l_orderkey order by l_linenumber), 0) as d from {_LINES} where l_orderkey in (select o_orderkey from orders)) where d <> 1 having count(*) > 0",
+)
+def law_contract(t):
+    """Articles printed twice break the rule of unique ids, missing line numbers that of the sequence. A law is judged as a whole, as it was parsed."""
+    @F.pandas_udf("array<string>")
+    def breaches(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda r: [rule for rule, _ in law.contract(sorted(r, key=lambda x: x["linha"]))])
+
+    found = law.provisions(order_laws(t, 2), "lei", "texto").groupBy("doc_id").agg(F.collect_list(F.struct("linha", "dispositivo_id", "parent_id", "tipo", "texto")).alias("l"))
+    return found.select(F.explode(breaches("l")).alias("regra")).groupBy("regra").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("r16_law_chunks")
@@ -206,30 +280,23 @@ def word_windows(t):
     return rows.select("doc_id", "w", F.explode(starts).alias("inicio")).select("doc_id", F.col("inicio").cast("bigint").alias("inicio"), F.array_join(F.slice("w", F.col("inicio") + 1, 50), " ").alias("texto"))
 
 
-@query(
-    "r18_article_rollup",
-    "select o_custkey as art, count(*) as n_dispositivos, min(o_orderkey) as primeiro, array_to_string(list(o_orderstatus order by o_orderkey), ' ') as texto from orders where o_orderstatus <> 'P' group by 1",
-)
-def rollup(t):
-    rows = t.orders.filter("o_orderstatus <> 'P'").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_dispositivos"), F.min("o_orderkey").alias("primeiro"), F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("l"))
-    return rows.select(F.col("o_custkey").alias("art"), "n_dispositivos", "primeiro", F.array_join(F.col("l.o_orderstatus"), " ").alias("texto"))
-
-
-@query("r22_self_reference", "select 'certo' as resultado, count(*) as n from (select doc_id, unnest(range(1, len(" + NONBLANK + ") + 1)) as k from documents)")
+@query("r22_self_reference", f"select 'certo' as resultado, count(*) as n from {LAW_SQL} having count(*) > 0")
 def self_reference(t):
-    """Every provision's own label, read as a question, must lead back to it."""
-    @F.pandas_udf(T.StringType())
-    def outcome(ids: pd.Series) -> pd.Series:
-        def one(i: str) -> str:
-            parts = dict(p.split("-", 1) for p in i.split(":")[1:])
-            question = f"art. {parts['art']}" + (f", § {parts['par']}" if "par" in parts else "")
-            found = law.route(question, law.Index([i])).anchors
-            return "certo" if found == [i] else "errado"
+    """Every provision's own label, read as a question, must lead back to it among the provisions of its law."""
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def outcomes(laws: pd.Series) -> pd.Series:
+        def of(ids) -> list[str]:
+            index, out = law.Index(list(ids)), []
+            for i in ids:
+                parts = dict(p.split("-", 1) for p in i.split(":")[1:])
+                found = law.route(f"art. {parts['art']}" + (f", § {parts['par']}" if "par" in parts else ""), index).anchors
+                out.append("certo" if found == [i] else "errado")
+            return out
 
-        return ids.map(one)
+        return laws.map(of)
 
-    rows = law.provisions(as_law(t), "lei", "texto").select("dispositivo_id")
-    return rows.select(outcome("dispositivo_id").alias("resultado")).groupBy("resultado").agg(F.count(F.lit(1)).alias("n"))
+    rows = law.provisions(order_laws(t), "lei", "texto").groupBy("doc_id").agg(F.collect_list("dispositivo_id").alias("ids"))  # a law's provisions
+    return rows.select(F.explode(outcomes("ids")).alias("resultado")).groupBy("resultado").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -248,13 +315,19 @@ def metrics(t):
     return per.agg(F.round(F.avg((F.col("f5") > 0).cast("int")), 6).alias("hit"), F.round(F.avg(F.col("f5") / 5), 6).alias("precisao"), F.round(F.avg(F.coalesce(F.lit(1.0) / F.col("primeiro"), F.lit(0.0))), 6).alias("mrr"), F.count(F.lit(1)).alias("n"))
 
 
-ANSWERS = [(True, False, ["a"], ["a", "b"], 1.0), (True, True, [], ["c"], 2.0), (False, True, [], [], 3.0), (False, False, ["x"], [], 10.0)]
-
-
-@query("a27_answer_metrics", "select 0.5 as acerto_recusa, 1 as falsas_respostas, 1 as falsas_recusas, 0.5 as validade, 0.25 as cobertura, 2.5 as p50, 10.0 as pior")
+@query(
+    "a27_answer_metrics",
+    """with l as (select l_orderkey as k, list_distinct(list(l_suppkey) filter (where l_returnflag = 'R')) as c, list_distinct(list(l_suppkey) filter (where l_shipdate > date '1995-01-01')) as e from lineitem group by 1),
+       a as (select o_orderstatus <> 'F' as r, left(o_orderpriority, 1) = '5' as n, coalesce(c, []) as c, coalesce(e, []) as e, o_totalprice as s from orders join l on k = o_orderkey)
+       select round(avg((r <> n)::int), 6) as acerto_recusa, count(*) filter (where not r and not n) as falsas_respostas, count(*) filter (where r and n) as falsas_recusas, round(avg(case when len(c) > 0 then len(list_intersect(c, e)) / len(c) end), 6) as validade,
+         round(avg(case when len(e) > 0 then len(list_intersect(c, e)) / len(e) end), 6) as cobertura, round(median(s), 2) as p50, round(max(s), 2) as pior from a""",
+)
 def answers(t):
-    rows = t.spark.createDataFrame(ANSWERS, "respondivel boolean, recusou boolean, citados array<string>, esperados array<string>, segundos double")
-    return retrieval.answer_metrics(rows)
+    """An order stands for an answer."""
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.collect_set(F.when(F.col("l_returnflag") == "R", F.col("l_suppkey"))).alias("citados"), F.collect_set(F.when(F.col("l_shipdate") > F.lit("1995-01-01").cast("date"), F.col("l_suppkey"))).alias("esperados"))
+    rows = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select((F.col("o_orderstatus") != "F").alias("respondivel"), (F.left("o_orderpriority", F.lit(1)) == "5").alias("recusou"), "citados", "esperados", F.col("o_totalprice").alias("segundos"))
+    m = retrieval.answer_metrics(rows)
+    return m.select(*(F.round(c, 6).alias(c) for c in ("acerto_recusa", "validade", "cobertura")), "falsas_respostas", "falsas_recusas", *(F.round(c, 2).alias(c) for c in ("p50", "pior")))
 
 
 @query("a28_token_calibration", "select round(median(r), 6) as mediana, round(min(r), 6) as minimo, round(max(r), 6) as maximo from (select length(text) * 1.0 / len(string_split(text, ' ')) / 5 as r from documents) where r >= 1.0")
@@ -263,11 +336,25 @@ def calibration(t):
     return r.agg(F.round(F.percentile("r", 0.5), 6).alias("mediana"), F.round(F.min("r"), 6).alias("minimo"), F.round(F.max("r"), 6).alias("maximo"))
 
 
-@query("r24_context_budget", "select * from (values ('b', true), ('a', true), ('c', false)) v(art_id, inteiro)")
+@query(
+    "r24_context_budget",
+    "with b as (select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey order by l_linenumber = m desc, l_linenumber) as k from (select distinct l_orderkey, l_linenumber, max(l_linenumber) over (partition by l_orderkey) as m from lineitem)) "
+    "select l_orderkey, cast(l_linenumber as varchar) as art_id, k as posicao, k <= 2 as inteiro from b where k <= 4",
+)
 def budget(t):
-    blocks = [{"art_id": "a", "formas": ["um dois tres"]}, {"art_id": "b", "formas": ["um dois"]}, {"art_id": "a", "formas": ["outra vez"]}, {"art_id": "c", "formas": ["muito " * 50, "curto"]}, {"art_id": "d", "formas": ["grande " * 9]}]
-    kept, _ = retrieval.assemble(blocks, ["b"], 7, lambda x: len(x.split()))
-    return t.spark.createDataFrame([(k["art_id"], k["inteiro"]) for k in kept], "art_id string, inteiro boolean")
+    """The last line of an order is the anchor; two blocks fit in full (three words of eight), two more in their short form (one word)."""
+    @F.pandas_udf("array<struct<art_id:string,inteiro:boolean>>")
+    def fitted(numbers: pd.Series) -> pd.Series:
+        def one(n) -> list[dict]:
+            ids = [str(x) for x in sorted(n)]
+            blocks = [{"art_id": i, "formas": [f"{i} dois tres", i]} for i in ids for _ in range(2)]  # each comes twice
+            kept, _ = retrieval.assemble(blocks, [ids[-1]], 8, lambda x: len(x.split()))
+            return [{"art_id": k["art_id"], "inteiro": k["inteiro"]} for k in kept]
+
+        return numbers.map(one)
+
+    orders = t.lineitem.groupBy("l_orderkey").agg(F.collect_set("l_linenumber").alias("n"))
+    return orders.select("l_orderkey", F.posexplode(fitted("n")).alias("p", "x")).select("l_orderkey", "x.art_id", (F.col("p") + 1).cast("bigint").alias("posicao"), "x.inteiro")
 
 
 @query("r27_verdict_digest", "select md5(string_agg(item_id || ':' || tipo, ',' order by item_id)) as digest from eval_itens")
@@ -276,10 +363,12 @@ def digest(t):
     return rows.select(F.md5(F.array_join(F.transform("l", lambda x: F.concat(x["item_id"].cast("string"), F.lit(":"), x["tipo"])), ",")).alias("digest"))
 
 
-@query("r28_evaluation", f"with {CURRENT_SQL} select round(avg((valor_venda is not null)::int), 6) as cobertura, round(count(distinct cnpj || produto) * 1.0 / count(*), 6) as redundancia from atual")
-def evaluation(t):
-    rows = current(t).groupBy("cnpj", "produto").agg(F.count(F.lit(1)).alias("n"), F.count("valor_venda").alias("v"))
-    return rows.agg(F.round(F.sum("v") / F.sum("n"), 6).alias("cobertura"), F.round(F.count(F.when(F.col("cnpj").isNotNull() & F.col("produto").isNotNull(), 1)) / F.sum("n"), 6).alias("redundancia"))
+@query("r27_drift", "select case when tipo = 'recall' then 'mudou' when item_id % 7 = 0 then 'novo' else 'igual' end as situacao, count(*) as n from eval_itens group by 1")
+def drift(t):
+    """Verdicts of two runs by item: what stayed, changed, came or went."""
+    now = t.eval_itens.select("item_id", F.col("tipo").alias("veredito"))
+    before = now.filter("item_id % 7 <> 0 or veredito = 'recall'").select("item_id", F.when(F.col("veredito") == "recall", "outro").otherwise(F.col("veredito")).alias("veredito"))
+    return retrieval.drift(before, now, "item_id", "veredito").groupBy("situacao").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("r29_usage_fact", "select doc_id, md5(text) as hash, length(text) as tamanho, coalesce(n_chars, length(text)) as informado, n_chars is null as estimado from documents")
