@@ -24,11 +24,31 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return shred.bridge(_shredded(spark, d, False)).filter(F.col("grupo") != shred.NFE.root).select(*NFE_KEYS, "grupo", "ordem1", "ordem2", "ordem3")
 
 
+def _stored(spark: SparkSession, d: str) -> DataFrame:
+    return shred.store(table(spark, d, "nfe_xml"), NFE_KEYS, "conteudo")
+
+
+def p1_store(spark: SparkSession, d: str) -> DataFrame:
+    """Each distinct object of all invoices, once and whole."""
+    return shred.objects(_stored(spark, d))
+
+
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every occurrence of every object with its parent's."""
+    return shred.links(_stored(spark, d))
+
+
 def p1_objects(spark: SparkSession, d: str) -> DataFrame:
-    """How often each stored object occurs."""
-    found = cut(_shredded(spark, d, True), "shredded")  # parsed once for objects and bridge
-    uses = shred.bridge(found).groupBy("objeto").agg(F.count(F.lit(1)).alias("usos"))
-    return shred.objects(found).join(uses, "objeto").groupBy("grupo").agg(F.count(F.lit(1)).alias("objetos"), F.sum("usos").alias("usos"), F.max("usos").alias("mais_usos"))
+    """How often the stored objects of each name occur, and the characters they are stored in."""
+    each = _stored(spark, d).filter(F.col("erro").isNull()).groupBy("nome", "objeto").agg(F.count(F.lit(1)).alias("usos"), F.max(F.length("canonico")).alias("tamanho"))
+    return each.groupBy("nome").agg(F.count(F.lit(1)).alias("objetos"), F.sum("usos").alias("usos"), F.max("usos").alias("mais_usos"), F.sum("tamanho").alias("caracteres"))
+
+
+def p1_reuse(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct objects and occurrences of the nine groups."""
+    rows = shred.bridge(_shredded(spark, d, False)).filter(F.col("grupo") != shred.NFE.root)
+    each = rows.groupBy("grupo", "objeto").agg(F.count(F.lit(1)).alias("usos"))
+    return each.groupBy("grupo").agg(F.count(F.lit(1)).alias("objetos"), F.sum("usos").alias("usos"), F.max("usos").alias("mais_usos"))
 
 
 #: group -> (column -> field); every table has all fields of the object in ``campos`` as well
@@ -47,13 +67,21 @@ GROUP_FIELDS = {
 
 def _flat(group: str):
     def plan(spark: SparkSession, d: str) -> DataFrame:
-        found = cut(_shredded(spark, d, True).filter(F.col("grupo") == group), "group")  # parsed once for objects and bridge
+        found = shred.shred(table(spark, d, "nfe_xml"), NFE_KEYS, "conteudo", groups=[group])
         return shred.flat_table(found, NFE_KEYS, group, GROUP_FIELDS[group])
 
     plan.__name__ = "p1_items" if group == "det" else f"p1_{group}"
     return plan
 
 
+def p1_fields(spark: SparkSession, d: str) -> DataFrame:
+    """The named fields of all nine flat tables as (keys, grupo, ordinals, campo, valor), from one parse."""
+    found = shred.shred(table(spark, d, "nfe_xml"), NFE_KEYS, "conteudo", groups=list(GROUP_FIELDS)).filter("erro is null")
+    named = F.map_from_entries(F.array(*(F.struct(F.lit(g).alias("g"), F.array(*(F.struct(F.lit(c).alias("campo"), F.lit(path).alias("em")) for c, path in fields.items())).alias("l")) for g, fields in GROUP_FIELDS.items())))
+    rows = found.select(*NFE_KEYS, "grupo", "ordem1", "ordem2", "ordem3", "campos", F.inline(named[F.col("grupo")]))
+    return rows.select(*NFE_KEYS, "grupo", "ordem1", "ordem2", "ordem3", "campo", F.col("campos")[F.col("em")].alias("valor")).filter("valor is not null")
+
+
 P1_TABLES = [_flat(group) for group in GROUP_FIELDS]
 
 
@@ -205,4 +233,4 @@ def p6_loaded(spark: SparkSession, d: str) -> DataFrame:
     return ok.select("linha_id", cnpj14(F.col("cnpj_da_revenda")).alias("cnpj"), strip(F.col("produto")).alias("produto"), date_br(F.col("data_da_coleta")).alias("dia"), price(F.col("valor_de_venda")).alias("valor"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_objects, *P1_TABLES, p1_rejects, p2_found, p2_snapshot, p3_found, p3_kept, p4_found, p4_flags, p6_found, p6_reasons, p6_loaded)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_objects, p1_store, p1_links, p1_reuse, p1_fields, *P1_TABLES, p1_rejects, p2_found, p2_snapshot, p3_found, p3_kept, p4_found, p4_flags, p6_found, p6_reasons, p6_loaded)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from garimpo.plans.problems import REFERENCES
+from garimpo.plans.problems import GROUP_FIELDS, REFERENCES
 
 ORACLES: dict[str, str] = {}
 
@@ -24,19 +24,39 @@ _K = "lote_id, arquivo"
 _det = _children(WHOLE, "det", _K, "a")
 _di = _children(_det, "DI", f"{_K}, a", "b")
 _vol = _children(WHOLE, "vol", _K, "a")
-ORACLES["p1_found"] = " union all ".join(
-    [
-        _rows(_det, "det", ["a"]),
-        _rows(_children(_det, "rastro", f"{_K}, a", "b"), "rastro", ["a", "b"]),
-        _rows(_di, "di", ["a", "b"]),
-        _rows(_children(_di, "adi", f"{_K}, a, b", "c"), "adi", ["a", "b", "c"]),
-        _rows(_children(WHOLE, "NFref", _K, "a"), "nfref", ["a"]),
-        _rows(_children(WHOLE, "dup", _K, "a"), "dup", ["a"]),
-        _rows(_children(WHOLE, "detPag", _K, "a"), "detpag", ["a"]),
-        _rows(_vol, "vol", ["a"]),
-        _rows(_children(_vol, "lacres", f"{_K}, a", "b"), "lacres", ["a", "b"]),
-    ]
-)
+_vols = _children(_vol, "lacres", f"{_K}, a", "b")
+# group -> (source of its elements' texts x, ordinals)
+_GROUPS = {
+    "det": (_det, ["a"]),
+    "rastro": (_children(_det, "rastro", f"{_K}, a", "b"), ["a", "b"]),
+    "di": (_di, ["a", "b"]),
+    "adi": (_children(_di, "adi", f"{_K}, a, b", "c"), ["a", "b", "c"]),
+    "nfref": (_children(WHOLE, "NFref", _K, "a"), ["a"]),
+    "dup": (_children(WHOLE, "dup", _K, "a"), ["a"]),
+    "detpag": (_children(WHOLE, "detPag", _K, "a"), ["a"]),
+    "vol": (_vol, ["a"]),
+    "lacres": (_vols, ["a", "b"]),
+}
+ORACLES["p1_found"] = " union all ".join(_rows(source, group, ordinals) for group, (source, ordinals) in _GROUPS.items())
+
+
+def _value(path: str) -> str:
+    """The first value of a field in the text x: an attribute of the element itself, or an element's text."""
+    name = path.rpartition(".")[2]
+    if name.startswith("@"):
+        return f"""regexp_extract(x, '^<[^>]*?\\b{name[1:]}\\s*=\\s*["'']([^"'']*)["'']', 1)"""
+    inner = f"regexp_extract(x, '(?s)<(?:n:)?{name}>(?:<!\\[CDATA\\[)?(.*?)(?:\\]\\]>)?</(?:n:)?{name}>', 1)"
+    for sign, entity in (("<", "lt"), (">", "gt"), ('"', "quot"), ("''", "apos"), ("&", "amp")):
+        inner = f"replace({inner}, '&{entity};', '{sign}')"
+    return f"trim({inner}, ' \n\r\t')"
+
+
+ORACLES["p1_fields"] = "select * from (" + " union all ".join(
+    f"select lote_id, arquivo, '{g}' as grupo, " + ", ".join(f"cast({o} as int) as ordem{k}" for k, o in enumerate([*ordinals, "0", "0", "0"][:3], 1)) + f", '{c}' as campo, {_value(path)} as valor from {source}" for g, (source, ordinals) in _GROUPS.items() for c, path in GROUP_FIELDS[g].items()
+) + ") where valor <> ''"
+# texts without prefixes, comments, line breaks and blanks between tags stand for the objects
+_BARE = "regexp_replace(regexp_replace(regexp_replace(x, '(?s)<!--.*?-->', '', 'g'), '<(/?)n:', '<\\1', 'g'), '>\\s+<', '><', 'g')"
+ORACLES["p1_reuse"] = " union all ".join(f"select '{g}' as grupo, count(*) as objetos, cast(sum(n) as bigint) as usos, max(n) as mais_usos from (select {_BARE} as t, count(*) as n from {source} group by 1) having count(*) > 0" for g, (source, _) in _GROUPS.items())
 ORACLES["p1_rejects"] = "select lote_id, arquivo from nfe_xml where not coalesce(regexp_matches(rtrim(conteudo, ' \n\r\t'), '(nfeProc|NFe)>$'), false)"
 
 

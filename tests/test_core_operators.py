@@ -33,7 +33,8 @@ def test_shred_groups_ordinals_and_identities(spark):
     # equal subtrees have one id, whatever the prefix; both items of a are the same object, stored once
     dets = {r.objeto for r in shred.bridge(found).filter("grupo = 'det'").collect()}
     assert len(dets) == 1
-    assert shred.objects(found).filter(F.col("objeto").isin(list(dets))).count() == 1
+    kept = shred.store(docs, ["lote_id", "arquivo"], "conteudo").cache()
+    assert shred.objects(kept).filter(F.col("objeto").isin(list(dets))).count() == 1  # the same ids in both readings
     assert {r.arquivo for r in shred.rejects(found, ["lote_id", "arquivo"]).collect()} == {"c", "d", "e", "f"}
     flat = shred.flat_table(found, ["lote_id", "arquivo"], "det", {"n": "@nItem", "x": "prod.x"})
     assert {(r.n, r.x) for r in flat.collect()} == {("1", "A & B")} and flat.count() == 3
@@ -316,10 +317,49 @@ def test_a_flat_table_per_group(spark, monkeypatch):
     assert (got["nfref"][0].ref_nfe, got["dup"][0].v_dup, got["detpag"][0].t_pag, got["vol"][0].q_vol, got["rastro"][0].n_lote) == ("9", "5", "01", "3", "L")
 
 
-def test_stored_objects_keep_nested_values():
-    import json
+NESTED = '<infNFe><autXML><CNPJ>1</CNPJ></autXML><autXML><CNPJ>2</CNPJ></autXML><infAdic><obsCont xCampo="a"><xTexto>t</xTexto></obsCont><obsCont xCampo="b"><xTexto>u</xTexto></obsCont><nota tipo="x">texto</nota></infAdic></infNFe>'
 
-    text = '<infNFe><autXML><CNPJ>1</CNPJ></autXML><autXML><CNPJ>2</CNPJ></autXML><infAdic><obsCont xCampo="a"><xTexto>t</xTexto></obsCont><obsCont xCampo="b"><xTexto>u</xTexto></obsCont><nota tipo="x">texto</nota></infAdic></infNFe>'
-    _, objects, _ = shred.Shredder(shred.NFE, True).parse(text)
+
+def test_fields_keep_nested_values():
+    _, objects, _ = shred.Shredder(shred.NFE, True).parse(NESTED)
     [(_, fields)] = objects.values()
-    assert json.loads(fields) == {"autXML.CNPJ": "1", "autXML[2].CNPJ": "2", "infAdic.obsCont.@xCampo": "a", "infAdic.obsCont[2].@xCampo": "b", "infAdic.obsCont.xTexto": "t", "infAdic.obsCont[2].xTexto": "u", "infAdic.nota": "texto", "infAdic.nota.@tipo": "x"}
+    assert dict(fields) == {"autXML.CNPJ": "1", "autXML[2].CNPJ": "2", "infAdic.obsCont.@xCampo": "a", "infAdic.obsCont[2].@xCampo": "b", "infAdic.obsCont.xTexto": "t", "infAdic.obsCont[2].xTexto": "u", "infAdic.nota": "texto", "infAdic.nota.@tipo": "x"}
+
+
+def elements(text):
+    """(level, name, text, attributes) of every element by another parser."""
+    import xml.etree.ElementTree as E
+
+    def walk(e, level):
+        whole = (e.text or "") + "".join(c.tail or "" for c in e)
+        bare = lambda n: n.rpartition("}")[2]
+        yield level, bare(e.tag), whole.strip(), tuple(sorted((bare(a), v) for a, v in e.attrib.items()))
+        for c in e:
+            yield from walk(c, level + 1)
+
+    return list(walk(E.fromstring(text.encode()), 0))
+
+
+def test_documents_are_rebuilt_from_the_store(spark):
+    import os
+
+    texts = [NESTED, "<a/>", "<a> x </a>", '<a b="1" c=""/>', XML.format(det=DET + DET), "<a>x<b/>y<b/> z</a>", "<a><b>" * 3 + "</b></a>" * 3, "<a", None, ""]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, x string")
+    if os.path.isdir("/root/testdata/sf0.01"):
+        docs = docs.unionByName(spark.read.parquet("/root/testdata/sf0.01/nfe_xml.parquet").select((F.monotonically_increasing_id() + 100).cast("int").alias("k"), F.col("conteudo").alias("x")))
+    docs = docs.cache()
+    found = shred.store(docs, ["k"], "x").cache()
+    objects = {r.objeto: r.canonico for r in shred.objects(found).collect()}
+    assert all(shred.digest(c) == o for o, c in objects.items())
+    rows_ = shred.links(found).collect()
+    roots = {r.k: r.objeto for r in rows_ if r.no_pai == 0}
+    refused = {r.k for r in found.filter("erro is not null").collect()}
+    for r in docs.collect():
+        if r.k in refused:
+            continue
+        assert shred.rebuild(roots[r.k], objects) == elements(r.x)
+    assert {7, 8, 9} <= refused and len(roots) + len(refused) == docs.count()
+    # each occurrence names its parent's occurrence, and its siblings' ordinals are dense
+    at = {(r.k, r.no): r for r in rows_}
+    assert all(r.no_pai == 0 or (r.k, r.no_pai) in at for r in rows_)
+    assert [(r.nome, r.ordem) for r in sorted(rows_, key=lambda r: (r.k, r.no)) if r.k == 0] == [("infNFe", 1), ("autXML", 1), ("autXML", 2), ("infAdic", 1), ("obsCont", 1), ("obsCont", 2), ("nota", 1)]
