@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from garimpo.llm.texts import fold, mend
+from garimpo.functions.text import ACCENTED, PLAIN
+from garimpo.llm.texts import BREAK, fold, fold_bytes, mend
 
 LANGUAGES = ("pt", "es", "en", "fr", "it")
 # fixed values: ways to write a label
@@ -44,7 +45,8 @@ NAMES = {
 UNKNOWN = {"", "unknown", "und", "n/a", "na", "none", "null", "nan", "?", "-", "xx", "mis", "mul", "zxx", "desconhecido", "other"}
 _LABEL = {w: k for k, words in NAMES.items() for w in words.split()}
 
-_SENTENCE = re.compile(r"""(?<=[.!?…])["'”»)\]]*\s+|\s*\n\s*\n\s*""")
+#: the end of a sentence, or an empty line; the leading set is what makes the search fast
+_SENTENCE = re.compile(r"""[.!?…\n](?:(?<=[.!?…])["'”»)\]]*\s+|(?<=\n)\s*\n\s*)""")
 
 
 _CODE = re.compile(r"[=_\[\]{}<>|#@\\]")
@@ -67,7 +69,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
     """(begin, end) of the sentences, blanks around them left out."""
     out, at = [], 0
     for m in _SENTENCE.finditer(text):
-        out.append((at, m.start()))
+        out.append((at, m.start() + 1))
         at = m.end()
     out.append((at, len(text)))
     trimmed = []
@@ -102,30 +104,48 @@ class Settings:
     seed: int = 11
 
 
-def features(texts: list[str], p: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, begin of each text in rows): hashed n-grams and words of folded texts, each text framed by blanks."""
-    data = np.frombuffer(" ".join(["", *texts, ""]).encode(), np.uint8)
-    data = np.where((data >= 97) & (data <= 122), data, 32).astype(np.uint32)
-    lengths = np.array([len(t) + 1 for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    n = len(data)
-    # a word's hash at its last letter: a prefix sum by position does not need a loop
-    kinds, places = [], []
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[list(b"=_[]{}<>|#@\\")] = True
+
+
+def prepared(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, piece of each byte) of many sentences, as ``plain`` of each, framed by two blanks: letters and single blanks."""
+    data = fold_bytes(pieces)
+    ends = data == ord(BREAK)
+    owner = np.cumsum(ends) - ends
+    letters = _LETTER[data]
+    signs = np.bincount(owner[_SIGN[data]], minlength=len(pieces))
+    if (signs > 1).any():
+        letters &= ~(signs > 1)[owner]
+    keep = letters.copy()
+    keep[1:] |= letters[:-1]  # the first of a run of other characters
+    keep |= ends
+    return np.where(letters, data, 32)[keep], owner[keep]
+
+
+def windows(data: np.ndarray, owner: np.ndarray, p: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order: (rows of the table, piece) of the hashed letter n-grams, pieces ascending."""
+    data = np.concatenate([[32], data, [32, 32]]).astype(np.uint32)
+    owner = np.concatenate([[0], owner, [0, 0]])
+    out, n = [], len(data)
     for order in p.orders:
-        h = np.zeros(n - order + 1, np.uint32)
+        h = np.zeros(max(0, n - order + 1), np.uint32)
         for k in range(order):
             h = h * np.uint32(0x01000193) ^ data[k : n - order + 1 + k] * np.uint32(0x9E3779B1)
-        middle = data[order // 2 : n - order + 1 + order // 2] != 32
-        at = np.flatnonzero(middle)
+        at = np.flatnonzero(data[order // 2 : n - order + 1 + order // 2] != 32)
         h = (h[at] ^ (h[at] >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * order)
-        kinds.append((h >> np.uint32(7)) % np.uint32(p.buckets))
-        places.append(at)
-    rows, at = np.concatenate(kinds), np.concatenate(places)
-    owner = np.searchsorted(starts, at, side="right") - 1
-    owner = np.minimum(owner, len(texts) - 1)
-    order_ = np.argsort(owner, kind="stable")
-    rows, owner = rows[order_].astype(np.int64), owner[order_]
-    return rows, np.searchsorted(owner, np.arange(len(texts) + 1))
+        out.append(((h >> np.uint32(7)) % np.uint32(p.buckets), owner[at + order // 2]))
+    return out
+
+
+def features(texts: list[str], p: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, begin of each text in rows) of plain texts, for training."""
+    both = windows(*prepared(texts), p)
+    rows, owner = np.concatenate([r for r, _ in both]), np.concatenate([o for _, o in both])
+    order = np.argsort(owner, kind="stable")
+    return rows[order].astype(np.int64), np.searchsorted(owner[order], np.arange(len(texts) + 1))
 
 
 class Model:
@@ -179,17 +199,20 @@ class Model:
     def table(self) -> np.ndarray:
         return np.ascontiguousarray(self.e @ self.w)
 
-    def logits(self, texts: list[str], table: np.ndarray | None = None) -> np.ndarray:
-        if not texts:
-            return np.zeros((0, len(LANGUAGES)), np.float32)
+    def logits(self, pieces: list[str], table: np.ndarray | None = None) -> np.ndarray:
+        return self.score(pieces, table)[0]
+
+    def score(self, pieces: list[str], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(logits, whether there is anything to judge by) of sentences as they are written."""
         table = self.table() if table is None else table
-        rows, begin = features(texts, self.p)
-        sums = np.zeros((len(texts), len(LANGUAGES)), np.float32)
-        full = begin[1:] > begin[:-1]
-        if full.any():
-            sums[full] = np.add.reduceat(table[rows], begin[:-1][full], axis=0)
-        counts = np.maximum(begin[1:] - begin[:-1], 1)
-        return (sums / counts[:, None] + np.where(full[:, None], self.b, 0)) / self.temperature
+        sums, counts = np.zeros((len(pieces), len(LANGUAGES)), np.float32), np.zeros(len(pieces), np.int64)
+        if pieces:
+            for rows, owner in windows(*prepared(pieces), self.p):
+                if len(rows):
+                    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                    sums[owner[first]] += np.add.reduceat(table.take(rows, axis=0), first, axis=0)
+                    counts += np.bincount(owner, minlength=len(pieces))
+        return (sums / np.maximum(counts, 1)[:, None] + np.where(counts[:, None] > 0, self.b, 0)) / self.temperature, counts > 0
 
     def calibrate(self, texts: list[str], y: np.ndarray) -> "Model":
         """The temperature with the least loss on held-out sentences."""
@@ -206,15 +229,19 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, doc_id: str, text: str, lang: str, p: Settings = Settings()) -> Model:
-    """Train on at most ``sample`` documents of each label, chosen by a hash of their text."""
-    named = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.lower(F.trim(lang)).alias("l"), F.col(text).alias("t"))
-    spellings = sorted(r[0] for r in named.select("l").distinct().collect() if label(r[0]) in LANGUAGES)  # a list of label spellings
-    if not spellings:
+    """Train on at most ``sample`` documents of each label, chosen by a hash of their key."""
+    # the language a label names, by the fixed list, inside codegen: a free-text column costs nothing here
+    bare = F.lower(F.trim(F.translate(F.col(lang), ACCENTED, PLAIN)))
+    known = F.create_map(*(F.lit(x) for pair in sorted(_LABEL.items()) for x in pair))
+    said = F.coalesce(known[bare], known[F.get(F.split(bare, "[-_ ]"), F.lit(0))])
+    named = docs.filter(F.col(lang).isNotNull()).select(said.alias("y"), F.pmod(F.xxhash64(F.lit(p.seed), doc_id), F.lit(1 << 30)).alias("h"), F.col(text).alias("t")).filter(F.col("y").isNotNull())
+    have = {r["y"]: r["n"] for r in named.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # five rows, from two narrow columns
+    if not have:
         return Model(p)
-    said = F.create_map(*(F.lit(x) for s in spellings for x in (s, label(s))))[F.col("l")]
-    # one scan for all languages; the window keeps at most ``sample`` rows of each before its shuffle
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("t"), "t"))
-    chosen = named.select("t", said.alias("y")).filter(F.col("y").isNotNull()).withColumn("k", rank).filter(F.col("k") <= p.sample)
+    # a scan that keeps some four times the sample by a hash of the key; only what is left is ranked
+    limit = F.create_map(*(x for y, n in sorted(have.items()) for x in (F.lit(y), F.lit(min(1 << 30, (4 * p.sample << 30) // n + 1)))))
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", F.xxhash64("t"), "t"))
+    chosen = named.filter((F.col("h") < limit[F.col("y")]) & F.col("t").isNotNull()).withColumn("k", rank).filter(F.col("k") <= p.sample)
     pairs = sorted(((r["t"], r["y"]) for r in chosen.select("t", "y").collect()), key=lambda r: (LANGUAGES.index(r[1]), r[0]))
     whole = [mend(t) for t, _ in pairs]
     cleaned = [[plain(t[a:b]) for a, b in sentences(t)] for t in whole]
@@ -262,39 +289,35 @@ def path(logp: np.ndarray, change: float) -> np.ndarray:
     return out
 
 
-def judge(texts: list[str | None], model: Model, table: np.ndarray) -> list[list[tuple[int, int, str, float]]]:
-    """For each text its stretches (begin, end, language, confidence)."""
+def judge(texts: list[str | None], model: Model, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The stretches of all texts, in order: (text, begin, end, language, confidence, letters of its sentences)."""
     p = model.p
     spans = [sentences(t) if t else [] for t in texts]
-    folded = [plain(t[a:b]) for t, s in zip(texts, spans) for a, b in s]
-    prob = softmax(model.logits(folded, table))
-    empty = np.array([not f for f in folded], bool)
-    out, at = [], 0
-    for t, s in zip(texts, spans):
-        n = len(s)
-        if not n:
-            out.append([])
-            continue
-        q = prob[at : at + n].copy()
-        none = empty[at : at + n] | (q.max(1) < p.reject)
-        at += n
-        size = np.array([b - a for a, b in s], float)
-        score = np.log(np.maximum(q, 1e-6))
-        if not none.all():
-            score[none] *= 0.25  # little weight: such sentences follow their neighbours
-        score[empty[at - n : at]] = 0
-        score *= np.minimum(size / 60, 1.0)[:, None]  # a few letters are little evidence
-        chosen = path(score, p.change)
-        stretches, k = [], 0
-        while k < n:
-            j = k
-            while j + 1 < n and chosen[j + 1] == chosen[k]:
-                j += 1
-            w = size[k : j + 1] * np.where(none[k : j + 1], 0.1, 1.0)
-            stretches.append((s[k][0], s[j][1], LANGUAGES[chosen[k]], float((q[k : j + 1, chosen[k]] * w).sum() / w.sum()), int(size[k : j + 1].sum())))
-            k = j + 1
-        out.append(stretches)
-    return out
+    counts = np.array([len(s) for s in spans], np.int64)
+    at = np.concatenate([[0], np.cumsum(counts)])
+    begin, end = (np.array([x[k] for s in spans for x in s], np.int64) for k in (0, 1))
+    logits, some = model.score([t[a:b] for t, s in zip(texts, spans) for a, b in s], table)
+    q = softmax(logits)
+    owner = np.repeat(np.arange(len(texts)), counts)
+    size = (end - begin).astype(float)
+    none = ~some | (q.max(1) < p.reject)
+    score = np.log(np.maximum(q, 1e-6))
+    speaks = np.bincount(owner[~none], minlength=len(texts)) > 0  # texts with a sentence that has a language
+    score[none & speaks[owner]] *= 0.25  # little weight: such sentences follow their neighbours
+    score[~some] = 0
+    score *= np.minimum(size / 60, 1.0)[:, None]  # a few letters are little evidence
+    chosen = score.argmax(1)
+    # only texts whose sentences differ need a path
+    change = (chosen[1:] != chosen[:-1]) & (owner[1:] == owner[:-1])
+    for k in np.unique(owner[1:][change]):
+        chosen[at[k] : at[k + 1]] = path(score[at[k] : at[k + 1]], p.change)
+    if not len(owner):
+        return owner, begin, end, chosen, np.zeros(0), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])]))
+    last = np.concatenate([first[1:], [len(owner)]]) - 1
+    w = size * np.where(none, 0.1, 1.0)
+    sure = np.add.reduceat(q[np.arange(len(owner)), chosen] * w, first) / np.add.reduceat(w, first)
+    return owner[first], begin[first], end[last], chosen[first], sure, np.add.reduceat(size, first).astype(np.int64)
 
 
 def stretches(docs: DataFrame, doc_id: str, text: str, lang: str, model: Model) -> DataFrame:
@@ -302,27 +325,32 @@ def stretches(docs: DataFrame, doc_id: str, text: str, lang: str, model: Model)
     kind = docs.select(doc_id).schema[0].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.b, model.temperature))  # buckets x languages numbers: a fixed size
     settings = model.p
-    item = pa.struct([("inicio", pa.int32()), ("fim", pa.int32()), ("lang", pa.string()), ("confianca", pa.float64())])
+    names = pa.array(LANGUAGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, b, temperature = shared.value
         m = Model.with_table(settings, b, temperature)
+        said: dict[str | None, str | None] = {}
         for whole in batches:
             for k in range(0, whole.num_rows, 1024):
                 batch = whole.slice(k, 1024)
-                found = judge(batch.column(1).to_pylist(), m, table)
-                best, sure = [], []
-                for each in found:
-                    total: dict[str, float] = {}
-                    weight: dict[str, float] = {}
-                    for _, _, language, confidence, size in each:
-                        total[language] = total.get(language, 0) + size
-                        weight[language] = weight.get(language, 0) + size * confidence
-                    top = max(LANGUAGES, key=lambda x: total.get(x, 0)) if total else None
-                    best.append(top)
-                    sure.append(weight[top] / sum(total.values()) if top else None)
+                n = batch.num_rows
+                owner, begin, end, chosen, sure, size = judge(batch.column(1).to_pylist(), m, table)
+                letters, weight = np.zeros((n, len(LANGUAGES))), np.zeros((n, len(LANGUAGES)))
+                np.add.at(letters, (owner, chosen), size)
+                np.add.at(weight, (owner, chosen), size * sure)
+                top, total = letters.argmax(1), letters.sum(1)
+                absent = total == 0
+                confidence = weight[np.arange(n), top] / np.where(absent, 1, total)
+                labels = batch.column(2).to_pylist()
+                if len(said) > 10_000:  # spellings are few; a free-text column must not fill the memory
+                    said.clear()
+                for x in set(labels).difference(said):
+                    said[x] = label(x)
+                pieces = pa.StructArray.from_arrays([pa.array(begin, pa.int32()), pa.array(end, pa.int32()), names.take(pa.array(chosen)), pa.array(sure)], ["inicio", "fim", "lang", "confianca"])
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]) if n else np.zeros(1, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array([label(x) for x in batch.column(2).to_pylist()], pa.string()), pa.array(best, pa.string()), pa.array(sure, pa.float64()), pa.array([[{"inicio": a, "fim": b, "lang": c, "confianca": d} for a, b, c, d, _ in each] for each in found], pa.list_(item))],
+                    [batch.column(0), batch.column(2), pa.array([said[x] for x in labels], pa.string()), names.take(pa.array(top, mask=absent)), pa.array(confidence, mask=absent), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pieces)],
                     names=["doc_id", "rotulo", "nomeia", "lang", "confianca", "trechos"],
                 )
 

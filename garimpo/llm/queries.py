@@ -31,13 +31,17 @@ def _languages(spark: SparkSession, d: str) -> DataFrame:
     return langid.stretches(docs, "doc_id", "text", "lang", langid.fit(docs, "doc_id", "text", "lang"))
 
 
+def _verdict(lang, confidence):
+    return F.when(confidence >= langid.Settings().reject, lang).otherwise("und").alias("veredito")
+
+
 def p9_segments(spark: SparkSession, d: str) -> DataFrame:
-    """Each stretch of each document with its language and confidence."""
-    return _languages(spark, d).select("doc_id", F.explode("trechos").alias("t")).select("doc_id", "t.inicio", "t.fim", "t.lang", F.round("t.confianca", 4).alias("confianca"))
+    """Each stretch of each document with its language and confidence; a language below the calibrated bound is refused ("und")."""
+    return _languages(spark, d).select("doc_id", F.explode("trechos").alias("t")).select("doc_id", "t.inicio", "t.fim", "t.lang", F.round("t.confianca", 4).alias("confianca"), _verdict(F.col("t.lang"), F.col("t.confianca")))
 
 
 def p9_documents(spark: SparkSession, d: str) -> DataFrame:
-    return _languages(spark, d).select("doc_id", "rotulo", "lang", F.round("confianca", 4).alias("confianca"), F.size("trechos").alias("trechos"))
+    return _languages(spark, d).select("doc_id", "rotulo", "lang", F.round("confianca", 4).alias("confianca"), _verdict(F.col("lang"), F.col("confianca")), F.size("trechos").alias("trechos"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

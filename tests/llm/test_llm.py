@@ -113,6 +113,35 @@ def test_align_against_brute_force():
         assert all(a[i] == b[j] for i, j in pairs) and all(x < y and u < v for (x, u), (y, v) in zip(pairs, pairs[1:]))
 
 
+def altered(rng, w, how):
+    other = lambda: sentence(rng, 1)
+    if how == "third word replaced":
+        return [other() if k % 3 == 2 else x for k, x in enumerate(w)]
+    if how == "word inserted after every second":
+        return [y for k, x in enumerate(w) for y in ([x, other()] if k % 2 else [x])]
+    if how == "fourth word left out":
+        return [x for k, x in enumerate(w) if k % 4 != 3]
+    if how == "letters changed":
+        return [x[:2] + x[3:] if k % 2 and len(x) > 4 else x for k, x in enumerate(w)]
+    if how == "half of it":
+        return w[: (len(w) + 1) // 2 + 1]
+    if how == "two stretches":
+        cut = len(w) // 3
+        return w[:cut] + sentence(rng, 25).split() + w[-cut:]
+    return w
+
+
+@pytest.mark.parametrize("how", ["as it is", "third word replaced", "word inserted after every second", "fourth word left out", "letters changed", "half of it", "two stretches"])
+def test_recall_by_kind_of_alteration(spark, how):
+    """Every kind of alteration that leaves at least half of the wording in order: recall 0.9 at least, and nothing else is found."""
+    rng = random.Random(21)
+    stock = "conforme a norma em vigor sobre o tema"
+    items = [(k, f"{stock} {sentence(rng, rng.randint(18, 60))}") for k in range(50)]
+    docs = [(k, f"{sentence(rng, 40)} {' '.join(altered(rng, t.split(), how))} {sentence(rng, 40)}") for k, t in items] + [(100 + k, f"{sentence(rng, 60)} {stock} {sentence(rng, 60)}") for k in range(50)]
+    found = leakage.leaks(spark.createDataFrame(docs, "d bigint, t string"), "d", "t", spark.createDataFrame(items, "i bigint, x string"), "i", "x").collect()
+    assert all(r.doc_id == r.item_id for r in found) and len(found) >= 45
+
+
 def test_leaks(spark):
     rng = random.Random(8)
     stock = "nos termos do regulamento aplicavel ao caso"
@@ -235,6 +264,39 @@ def test_languages(spark, corpus):
     assert 0 < got[5].confianca < 0.9 and 0 < got[1].confianca <= 1
 
 
+def test_confidence_is_calibrated(corpus):
+    """Over short and long held-out sentences the mean confidence is the share that is right (expected calibration error)."""
+    import numpy as np
+
+    model = langid.fit(corpus, "doc_id", "text", "lang", langid.Settings(buckets=1 << 13, repeat=2))
+    rng = random.Random(5)
+    said = [(x, " ".join(rng.choice(WORDS[x].split()) for _ in range(n))) for x in langid.LANGUAGES for n in (1, 2, 3, 6, 12) for _ in range(60)]
+    q = langid.softmax(model.logits([t for _, t in said]))
+    right = np.array([langid.LANGUAGES[k] == x for k, (x, _) in zip(q.argmax(1), said)])
+    sure, error = q.max(1), 0.0
+    for low in np.arange(0, 1, 0.1):
+        inside = (sure > low) & (sure <= low + 0.1)
+        if inside.any():
+            error += inside.mean() * abs(sure[inside].mean() - right[inside].mean())
+    assert error < 0.12, error
+    accepted = sure >= langid.Settings().reject
+    assert right[accepted].mean() > 0.97 and right[accepted].mean() > right[~accepted].mean()
+
+
+def test_a_batch_is_folded_like_each_text():
+    from garimpo.llm.texts import BREAK, fold_bytes
+
+    texts = ["Ação  1", "", "fim-\nde linha", "a\x01b", "coraÃ§Ã£o", "-\n", "x", "\u200bzero\u00ad", "½ ﬁ"]
+    pieces = bytes(fold_bytes(texts)).decode().split(BREAK)
+    assert pieces == [*(fold(t.replace(BREAK, " ")) for t in texts), ""] and len(fold_bytes([])) == 0
+    data, owner = langid.prepared(texts)
+    got = ["".join(chr(c) for c in data[owner == k]).strip() for k in range(len(texts))]
+    assert got == [langid.plain(t.replace(BREAK, " ")) for t in texts]
+    hashes, owner = leakage.word_hashes([*texts, *texts])
+    for k, t in enumerate(texts):
+        assert (owner == k).sum() == len(words(t)) and (hashes[owner == k] == hashes[owner == k + len(texts)]).all()
+
+
 def test_labels():
     assert [langid.label(x) for x in ("pt_br", "English", "fra", " IT ", "und", "", None, "español", "klingon")] == ["pt", "en", "fr", "it", None, None, None, "es", "klingon"]
 
