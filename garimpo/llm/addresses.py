@@ -5,9 +5,9 @@
 2. Equal parsed addresses in one town become one class. Classes that share town and number are candidates of each other only
    if they also share a deletion variant (up to two letters left out) of a name token; towns are the blocks, as postcodes are often
    missing or too wide, and classes alone at their town and number drop out first.
-3. A candidate pair is decided by the best assignment of its tokens to each other (exact, over all assignments) under an
-   edit limit per token; a different number, kilometre or road code, two different known street types or titles, and, if wanted, two
-   different known units veto it.
+3. A candidate pair is decided by the best assignment of its tokens to each other (exact, by augmenting paths, for any number of tokens) under an
+   edit limit per token; an initial stands for its word, one word of three may be missing; a different number, kilometre or road code, two
+   different known street types or titles, and, if wanted, two different known units veto it.
 4. Owners and classes that are linked form components; the result is each pair of owners in one component.
 
 Defined cases: rows without owner, town, street or number say nothing; blank and null fields are missing parts; ties do not
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from garimpo.functions.text import fold as plain
 from garimpo.llm.components import components
 from garimpo.workspace import cut
 
@@ -180,24 +181,60 @@ def edits(token: str) -> int:
     return 0 if any(c.isdigit() for c in token) or len(token) < 4 else 1 if len(token) < 6 else 2
 
 
+def token_cost(x: str, y: str) -> int | None:
+    """What it costs that one token is the other: its edits within the limit, 1 for an initial, None if it can't be."""
+    if min(len(x), len(y)) == 1 and x != y:
+        return 1 if x[0] == y[0] and (x + y).isalpha() else None
+    most = 0 if x in MONTHS and y in MONTHS else min(edits(x), edits(y))  # July is no misspelt June
+    d = osa(x, y, most)
+    return d if d <= most else None
+
+
 def assignment(a: list[str], b: list[str]) -> int | None:
-    """Least total edits over all one-to-one assignments of the tokens, None if some token finds none. Exact (over subsets)."""
-    if len(a) != len(b) or len(a) > 12:
-        return 0 if sorted(a) == sorted(b) else None
-    best = {0: 0}
-    for x in a:
-        step: dict[int, int] = {}
-        for used, cost in best.items():
-            for j, y in enumerate(b):
-                if not used >> j & 1:
-                    most = 0 if x in MONTHS and y in MONTHS else min(edits(x), edits(y))  # July is no misspelt June
-                    d = osa(x, y, most)
-                    if d <= most and cost + d < step.get(used | 1 << j, 99):
-                        step[used | 1 << j] = cost + d
-        best = step
-        if not best:
-            return None
-    return min(best.values())
+    """Least total cost over all assignments of the tokens, None if there is none: exact, by shortest augmenting paths.
+
+    Every token of the shorter name finds its own in the longer one. What is left there is a missing part: one word of three may be, at a cost of
+    2, but no number or code; and at least one word of more than a letter must be matched."""
+    if len(a) > len(b):
+        a, b = b, a
+    n, m = len(a), len(b)
+    if not n or m - n > m // 3:
+        return None
+    far = 1 << 20
+    cost = [[far if (c := token_cost(x, y)) is None else c for y in b] for x in a]
+    if any(min(row) == far for row in cost):
+        return None
+    # potentials u, v; match[j]: row of column j (1-based, 0: none)
+    u, v, match = [0] * (n + 1), [0] * (m + 1), [0] * (m + 1)
+    for row in range(1, n + 1):
+        match[0], at = row, 0
+        least, back, done = [far * 4] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while match[at]:
+            done[at] = True
+            r, delta, nearest = match[at], far * 4, 0
+            for j in range(1, m + 1):
+                if not done[j]:
+                    c = cost[r - 1][j - 1] - u[r] - v[j]
+                    if c < least[j]:
+                        least[j], back[j] = c, at
+                    if least[j] < delta:
+                        delta, nearest = least[j], j
+            for j in range(m + 1):
+                if done[j]:
+                    u[match[j]] += delta
+                    v[j] -= delta
+                else:
+                    least[j] -= delta
+            at = nearest
+        while at:
+            match[at] = match[back[at]]
+            at = back[at]
+    pairs = [(match[j] - 1, j - 1) for j in range(1, m + 1) if match[j]]
+    left = [b[j - 1] for j in range(1, m + 1) if not match[j]]
+    total = sum(cost[i][j] for i, j in pairs)
+    if total >= far or any(any(c.isdigit() for c in t) for t in left) or all(min(len(a[i]), len(b[j])) == 1 for i, j in pairs) and a != b:
+        return None
+    return total + 2 * len(left)
 
 
 def same_name(a: list[str], b: list[str]) -> bool:
@@ -222,11 +259,6 @@ def parsed(street: pd.Series, number: pd.Series, unit: pd.Series) -> pd.DataFram
     return pd.DataFrame(rows, columns=["kind", "title", "name", "number", "unit"])
 
 
-@F.pandas_udf(T.StringType())
-def town_key(town: pd.Series) -> pd.Series:
-    return town.map(lambda t: re.sub(r"[^A-Z0-9]+", " ", fold(t)).strip() or None)
-
-
 def variants(token):
     """The token and all strings with one or two letters left out; codes and short tokens only themselves."""
     one = lambda t: F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.length(t))))
@@ -239,35 +271,39 @@ def locations(df: DataFrame, owner: str, town: list[str], street: str, number: s
     """(owner, component) of the owners that share a location with another one; an owner may be in several."""
     # written out: else the optimizer takes this distinct for redundant and every row is parsed
     raw = cut(df.filter(F.col(owner).isNotNull()).select(F.col(owner).alias("owner"), *(F.col(c).alias(f"t{k}") for k, c in enumerate(town)), F.col(street).alias("s"), F.col(number).alias("n"), F.col(unit).alias("u")).distinct(), "writings")
-    texts = raw.select("owner", F.concat_ws("|", *(town_key(F.col(f"t{k}")) for k in range(len(town)))).alias("town"), F.col(f"t{len(town) - 1}").alias("last"), parsed("s", "n", "u").alias("p"))
+    texts = raw.select("owner", F.concat_ws("|", *(F.nullif(F.upper(plain(F.col(f"t{k}"))), F.lit("")) for k in range(len(town)))).alias("town"), F.col(f"t{len(town) - 1}").alias("last"), parsed("s", "n", "u").alias("p"))
     unit_part = F.col("p.unit") if unit_veto else F.lit("")
     known = cut(
         texts.filter(F.col("p.number").isNotNull() & (F.length(F.trim("last")) > 0))
-        .select("owner", "town", "p.number", "p.kind", "p.title", F.array_sort("p.name").alias("name"), unit_part.alias("unit"))
+        .select("owner", "town", "p.number", "p.kind", "p.title", "p.name", unit_part.alias("unit"))
         .distinct()
-        .withColumn("class", F.md5(F.concat_ws("|", "town", "number", "kind", "title", "unit", F.concat_ws(" ", "name")))),
+        .withColumn("class", F.unhex(F.md5(F.concat_ws("|", "town", "number", "kind", "title", "unit", F.concat_ws(" ", "name"))))),
         "addresses",
     )
     # several owners at one town and number, or nothing to find there
     shared = known.groupBy("town", "number").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo <> hi").select("town", "number")
     places = cut(known.join(shared, ["town", "number"], "left_semi"), "places")
-    classes = places.select("class", "town", "number", "kind", "title", "name", "unit").distinct()
-    index = classes.select("class", "kind", "title", "name", "unit", F.explode("name").alias("token"), F.concat_ws("|", "town", "number").alias("block"))
-    index = index.select("class", "kind", "title", "name", "unit", F.explode(variants(F.col("token"))).alias("v"), "block").select("class", "kind", "title", "name", "unit", F.xxhash64("block", "v").alias("h")).dropDuplicates(["class", "h"])
-    left = index.select(*(F.col(c).alias(f"{c}_a") for c in index.columns if c != "h"), "h")
-    right = index.select(*(F.col(c).alias(f"{c}_b") for c in index.columns if c != "h"), "h")
+    classes = cut(places.select("class", "town", "number", "kind", "title", "name", "unit").distinct(), "classes")
+    # the index holds a class and a hash only; the names come back to the pairs that were found. Words run together meet by the joined
+    # neighbours, written without a letter less
+    joined = F.when(F.size("name") > 1, F.transform(F.sequence(F.lit(0), F.size("name") - 2), lambda k: F.concat(F.get("name", k), F.get("name", k + 1)))).otherwise(F.array().cast("array<string>"))
+    keys = F.array_union(F.flatten(F.transform("name", variants)), F.array_union(joined, F.array(F.array_join("name", ""))))
+    index = classes.select("class", F.concat_ws("|", "town", "number").alias("block"), F.explode(keys).alias("v")).select("class", F.xxhash64("block", "v").alias("h"))
+    met = index.select(F.col("class").alias("class_a"), "h").join(index.select(F.col("class").alias("class_b"), "h"), "h").filter("class_a < class_b").select("class_a", "class_b").distinct()
+    what = ["kind", "title", "name", "unit"]
+    side = lambda x: classes.select(F.col("class").alias(f"class_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in what))
     fits = lambda c: (F.col(f"{c}_a") == "") | (F.col(f"{c}_b") == "") | (F.col(f"{c}_a") == F.col(f"{c}_b"))
-    pairs = left.join(right, "h").filter((F.col("class_a") < F.col("class_b")) & fits("kind") & fits("title") & fits("unit")).drop("h").dropDuplicates(["class_a", "class_b"])
+    pairs = met.join(side("a"), "class_a").join(side("b"), "class_b").filter(fits("kind") & fits("title") & fits("unit"))
 
     @F.pandas_udf("boolean")
     def decided(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([same_name(list(x), list(y)) for x, y in zip(a, b)], dtype=bool)
 
-    links = pairs.filter(decided("name_a", "name_b")).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    links = pairs.filter(decided("name_a", "name_b")).select(F.hex("class_a").alias("a"), F.hex("class_b").alias("b"))
     # an owner ties its own writings at one number together: node ids are told apart by a prefix
-    own = places.select(F.concat(F.lit("~"), "owner", F.lit("|"), "town", F.lit("|"), "number").alias("a"), F.col("class").alias("b")).distinct()
+    own = places.select(F.concat(F.lit("~"), "owner", F.lit("|"), "town", F.lit("|"), "number").alias("a"), F.hex("class").alias("b")).distinct()
     labels = components(links.unionByName(own))
-    return places.select("owner", "class").join(labels, F.col("class") == F.col("node")).select("owner", "component").distinct()
+    return places.select("owner", F.hex("class").alias("class")).join(labels, F.col("class") == F.col("node")).select("owner", "component").distinct()
 
 
 def same_location(df: DataFrame, owner: str, town: list[str], street: str, number: str, unit: str, unit_veto: bool = False) -> DataFrame:

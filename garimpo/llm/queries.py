@@ -11,8 +11,23 @@ from garimpo.plans.problems import anp_ok
 from garimpo.plans.tables import table
 
 
+def _stations(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "anp_landing_semanal").filter(anp_ok()).withColumn("__cnpj", cnpj14(F.col("cnpj_da_revenda")))
+
+
+def p5_locations(spark: SparkSession, d: str) -> DataFrame:
+    """One row per CNPJ and location that it shares with another: pairs are what this is joined with itself."""
+    found = addresses.locations(_stations(spark, d), "__cnpj", ["estado_sigla", "municipio"], "nome_da_rua", "numero_rua", "complemento")
+    return found.select(F.col("owner").alias("cnpj"), F.col("component").alias("local"))
+
+
+def p5_units(spark: SparkSession, d: str) -> DataFrame:
+    """As p5_found, but two different known units (shop, block, room) are two places."""
+    return addresses.same_location(_stations(spark, d), "__cnpj", ["estado_sigla", "municipio"], "nome_da_rua", "numero_rua", "complemento", unit_veto=True).select(F.col("a").alias("cnpj_a"), F.col("b").alias("cnpj_b"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "anp_landing_semanal").filter(anp_ok()).withColumn("__cnpj", cnpj14(F.col("cnpj_da_revenda")))
+    rows = _stations(spark, d)
     return addresses.same_location(rows, "__cnpj", ["estado_sigla", "municipio"], "nome_da_rua", "numero_rua", "complemento").select(F.col("a").alias("cnpj_a"), F.col("b").alias("cnpj_b"))
 
 
@@ -66,5 +81,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(_mix(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_scores, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_locations, p5_units, p7_found, p7_scores, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)}
 ORACLES: dict[str, str] = {}

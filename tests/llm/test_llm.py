@@ -42,9 +42,9 @@ def test_assignment_is_exact():
         b = ["".join(rng.choice("ABC") for _ in range(rng.randint(3, 6))) for _ in range(3)]
         costs = []
         for p in permutations(b):
-            ds = [(addresses.osa(x, y, 9), min(addresses.edits(x), addresses.edits(y))) for x, y in zip(a, p)]
-            if all(d <= m for d, m in ds):
-                costs.append(sum(d for d, _ in ds))
+            ds = [addresses.token_cost(x, y) for x, y in zip(a, p)]
+            if None not in ds:
+                costs.append(sum(ds))
         assert addresses.assignment(a, b) == (min(costs) if costs else None)
 
 
@@ -53,6 +53,66 @@ def test_months_are_not_misspelt_months():
     assert addresses.same_name(["8", "SETEMBRO"], ["8", "SETMEBRO"])
 
 
+@pytest.mark.parametrize(
+    "a,b,same",
+    [
+        ("CARLOS PEREIRA SILVA", "CARLOS SILVA", True),
+        ("C SILVA", "CARLOS SILVA", True),
+        ("CARLOS SILVA", "SILVA", False),
+        ("C S", "CARLOS SILVA", False),
+        ("9 JULHO", "JULHO", False),
+        ("BOA VISTA", "BOAVISTA", True),
+        ("CARLOS PEREIRA SILVA", "CARLOS TAVARES SILVA", False),
+        ("ALFA BETA GAMA DELTA EPSILON ZETA ETA TETA IOTA CAPA LAMBDA OMICRON SIGMA", "SIGMA OMICRON LAMDBA CAPA IOTA TETA ETA ZETA EPSILON DELTA GAMA BETA ALFA", True),
+    ],
+)
+def test_names_with_missing_parts(a, b, same):
+    assert {addresses.same_name(x.split(), y.split()) for x, y in ((a, b), (b, a))} == {same}
+
+
+def test_candidates_against_all_pairs(spark):
+    """Recall of the index and the links against all pairs of owners at one town and number."""
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJLMNOPRSTUV"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(5, 9)))
+    streets = [[word() for _ in range(rng.randint(2, 4))] for _ in range(40)]
+
+    def wrong(w):
+        k = rng.randrange(len(w))
+        return rng.choice([w, w[:k] + w[k + 1 :], w[:k] + rng.choice(letters) + w[k:], w[:k] + rng.choice(letters) + w[k + 1 :]])
+
+    data = []
+    for k in range(240):
+        s = [wrong(w) for w in rng.choice(streets)]
+        if len(s) > 2 and rng.random() < 0.2:
+            del s[1]
+        if rng.random() < 0.1:
+            s = ["".join(s[:2]), *s[2:]]
+        rng.shuffle(s) if rng.random() < 0.2 else None
+        data.append((f"{k:03d}", "UF", "T", "RUA " + " ".join(s), str(rng.randint(1, 3)), ""))
+    links = [(a, b) for a in data for b in data if a[0] < b[0] and a[4] == b[4] and addresses.same_name(a[3].split()[1:], b[3].split()[1:])]
+    root = {r[0]: r[0] for r in data}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[find(a[0])] = find(b[0])
+    want = {(a[0], b[0]) for a in data for b in data if a[0] < b[0] and find(a[0]) == find(b[0])}
+    df = spark.createDataFrame(data, "o string, uf string, c string, r string, n string, k string")
+    got = {(r.a, r.b) for r in addresses.same_location(df, "o", ["uf", "c"], "r", "n", "k").collect()}
+    assert got <= want and len(got) >= 0.9 * len(want), (len(got), len(want))
+
+
+def test_unit_veto(spark):
+    data = [("A", "SP", "T", "RUA FEBIZAR", "1", "LOJA 1"), ("B", "SP", "T", "RUA FEBIZAR", "1", "LOJA 2"), ("C", "SP", "T", "RUA FEBIZAR", "2", "LOJA 1"), ("D", "SP", "T", "R FEBIZAR", "2", "loja 1")]
+    df = spark.createDataFrame(data, "o string, uf string, c string, r string, n string, k string")
+    found = lambda veto: {(r.a, r.b) for r in addresses.same_location(df, "o", ["uf", "c"], "r", "n", "k", veto).collect()}
+    assert found(True) == {("C", "D")} and found(False) == {("A", "B"), ("C", "D")}
+
+
 def test_same_location(spark):
     data = [
         ("A", "SP", "CIDADE", "RUA FEBIZAR DE RARANHO", "354", ""),
