@@ -80,23 +80,48 @@ def guard_mass_delete(actions: DataFrame, limit: float = 0.05) -> dict[str, int]
 
 
 class Target:
-    """A table of versions below one folder."""
+    """A table of versions below one folder, kept as tiers: a base and a few deltas, each smaller than the one before.
+
+    An upsert writes its delta only; two tiers are merged when the newer one has grown to half of the older one, so that a row is
+    rewritten a number of times that grows with the logarithm of the loads, and a reader overlays as few tiers."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.versions = Versions(spark, path)
+        self.spark, self.versions = spark, Versions(spark, path)
 
     def read(self) -> DataFrame | None:
-        return self.versions.table("data")
+        now = self.versions.current()
+        tiers = now["tables"].get("data", [])
+        return self._overlay(tiers, now["keys"]) if tiers else None
+
+    def _overlay(self, tiers: list[str], keys: list[str]) -> DataFrame:
+        return reduce(lambda below, above: keyed_upsert(below, above, keys), (self.spark.read.parquet(t) for t in tiers))
 
     def write(self, df: DataFrame, **stamp) -> None:
-        number = self.versions.current()["version"] + 1
-        at = self.versions.stage("data", number)
+        at = self.versions.stage("data", self.versions.current()["version"] + 1)
         df.write.parquet(at)
-        self.versions.publish({"data": at}, stamp=stamp)
+        self.versions.publish({"data": [at]}, stamp=stamp, keys=[], rows=[self.spark.read.parquet(at).count()])
 
     def upsert(self, delta: DataFrame, keys: list[str], **stamp) -> None:
-        old = self.read()
-        self.write(delta if old is None else keyed_upsert(old, delta, keys), **stamp)
+        """delta's keys replace the rows of these keys; ``delta`` may have several rows of a key."""
+        now = self.versions.current()
+        number = now["version"] + 1
+        tiers, rows = list(now["tables"].get("data", [])), list(now.get("rows", []))
+        if tiers and now["keys"] not in ([], keys):
+            raise ValueError(f"upserts by {now['keys']} and by {keys}")
+        at = self.versions.stage("delta", number)
+        delta.write.parquet(at)
+        tiers.append(at)
+        rows.append(self.spark.read.parquet(at).count())  # from the footers
+        k = len(tiers) - 1
+        weight = rows[k]
+        while k and 2 * weight >= rows[k - 1]:
+            k -= 1
+            weight += rows[k]
+        if k < len(tiers) - 1:  # one merge of all tiers that have come that near
+            at = self.versions.stage("merged", number)
+            self._overlay(tiers[k:], keys).write.parquet(at)
+            tiers, rows = [*tiers[:k], at], [*rows[:k], self.spark.read.parquet(at).count()]
+        self.versions.publish({"data": tiers}, stamp=stamp, keys=keys, rows=rows)
 
     def up_to_date(self, **stamp) -> bool:
         """Skip work by fingerprint: the last write carried the same stamp."""

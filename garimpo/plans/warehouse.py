@@ -12,7 +12,7 @@ from garimpo.operators.latest import latest_per_key
 from garimpo.operators.upsert import keyed_upsert, replace_groups, snapshot, versions_from_history
 from garimpo.plans.catalog import query
 from garimpo.plans.scalars import PRODUCTS, product_id
-from garimpo.workspace import cut
+from garimpo.workspace import cut, once_a_load
 
 # --- fuel prices ---------------------------------------------------------------------------------------------------------
 
@@ -42,7 +42,11 @@ CLEAN_SQL = (
 
 
 def silver(t) -> DataFrame:
-    """Newest row of each natural key. Columns are pruned before the window's shuffle."""
+    """Newest row of each natural key, written once a load: the marts read what they need of it and never the landing table again."""
+    return once_a_load(t.anp_landing_semanal, "silver", lambda: silver_of(t))
+
+
+def silver_of(t) -> DataFrame:
     return latest_per_key(anp_clean(t.anp_landing_semanal), ["chave"], [F.desc("ingestion_timestamp"), F.desc("arquivo"), F.desc("linha_id")])
 
 
@@ -129,7 +133,8 @@ def current_mart(t):
 
 
 def current(t) -> DataFrame:
-    return current_of(silver(t))
+    """The newest prices, written once a load as well."""
+    return once_a_load(t.anp_landing_semanal, "current", lambda: current_of(silver(t)))
 
 
 def current_of(s: DataFrame) -> DataFrame:
@@ -232,8 +237,8 @@ ITEM = {"n_item": "@nItem", "cprod": "prod.cProd", "ncm": "prod.NCM", "cfop": "p
 
 
 def shredded(t) -> DataFrame:
-    """The current invoices, parsed once and written: headers, items and marts are plain reads of it."""
-    return cut(parsed(t), "invoices")
+    """The current invoices, parsed once a load and written: headers, items and marts are plain reads of it."""
+    return once_a_load(t.nfe_xml, "invoices", lambda: parsed(t))
 
 
 def parsed(t) -> DataFrame:

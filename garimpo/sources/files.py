@@ -7,6 +7,8 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,18 +26,107 @@ def header(name: str) -> str:
     return re.sub(r" - | ", "_", name.replace("﻿", "").strip().lower())
 
 
+def list_files(spark: SparkSession, path: str, suffix: str = "", recursive: bool = True) -> list[tuple[str, int]]:
+    """(path, modification time in ms) of the files below a folder or of a glob, hidden ones left out: a listing, on the driver as Spark's own."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    out = []
+    for found in fs.globStatus(at) or []:
+        each = fs.listFiles(found.getPath(), recursive) if found.isDirectory() else None
+        while each is not None and each.hasNext():
+            f = each.next()
+            out.append((f.getPath().toString(), f.getModificationTime()))
+        if each is None:
+            out.append((found.getPath().toString(), found.getModificationTime()))
+    return sorted((p, m) for p, m in out if p.endswith(suffix) and not p.rpartition("/")[2].startswith(("_", ".")))
+
+
+def first_line(spark: SparkSession, path: str, most: int = 1 << 20) -> str:
+    """The first line of a file, read by itself."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        data = b""
+        while b"\n" not in data and len(data) < most:
+            more = bytes(stream.readNBytes(8192))
+            if not more:
+                break
+            data += more
+    finally:
+        stream.close()
+    return data.split(b"\n")[0].decode("utf-8", "replace").rstrip("\r")
+
+
+def land_csv(spark: SparkSession, paths: list[str], contract: list[str], separator: str = ";") -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """(rows of all files that keep the contract, (file, reason) of each that does not).
+
+    Each file is judged by its own header: a missing or repeated column refuses that file alone, columns may stand in any order, extra ones are dropped.
+    Files with the same header are one scan. All columns are text; bytes that are no UTF-8 become U+FFFD and ``lossy`` tells
+    which rows had some; ``arquivo`` is the file. Files without any line are refused."""
+    with ThreadPoolExecutor(16) as pool:  # one short read a file
+        lines = list(pool.map(lambda p: first_line(spark, p), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    refused: list[tuple[str, str]] = []
+    for path, line in zip(paths, lines):
+        names = tuple(header(c) for c in next(csv.reader([line], delimiter=separator), []))
+        missing = [c for c in contract if c not in names]
+        double = [c for c in contract if names.count(c) > 1]
+        if missing or double:
+            refused.append((path, "; ".join([*(f"falta {c}" for c in missing), *(f"repete {c}" for c in double)])))
+        else:
+            groups.setdefault(names, []).append(path)
+    out = None
+    for names, members in groups.items():
+        # names of our own: extra columns may be called anything
+        schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(names))])
+        raw = spark.read.csv(members, schema=schema, sep=separator, header=True, enforceSchema=True, encoding="UTF-8", escape='"')
+        lossy = F.lit(False)
+        for c in contract:
+            lossy = lossy | F.coalesce(F.contains(F.col(f"c{names.index(c)}"), F.lit("\ufffd")), F.lit(False))
+        rows = raw.select(*(F.col(f"c{names.index(c)}").alias(c) for c in contract), lossy.alias("lossy"), F.col("_metadata.file_name").alias("arquivo"))
+        out = rows if out is None else out.unionByName(rows)
+    return out, refused
+
+
 def read_contract_csv(spark: SparkSession, path: str, contract: list[str], separator: str = ";") -> DataFrame:
-    """All columns as text, header normalised; a missing column refuses the file, extra ones are dropped.
-
-    Bytes that are no UTF-8 become U+FFFD; ``lossy`` tells which rows had some."""
-    raw = spark.read.csv(path, sep=separator, header=True, inferSchema=False, encoding="UTF-8", escape='"', recursiveFileLookup=True)
-    df = raw.toDF(*(header(c) for c in raw.columns))
-    if missing := [c for c in contract if c not in df.columns]:
-        raise ContractError(f"{path}: {', '.join(missing)}")
-    lossy = F.lit(False)
-    for c in contract:
-        lossy = lossy | F.coalesce(F.contains(F.col(c), F.lit("�")), F.lit(False))
-    return df.select(*contract, lossy.alias("lossy"))
+    """All files below ``path``, each by its own header; any file that breaks the contract is an error."""
+    rows, refused = land_csv(spark, [p for p, _ in list_files(spark, path)], contract, separator)
+    if refused or rows is None:
+        raise ContractError("; ".join(f"{p}: {why}" for p, why in refused) or f"{path}: no file")
+    return rows.drop("arquivo")
+
+
+#: where the files of a load shape lie below the root
+SHAPES = {"semanal": "semana-*.csv", "mensal": "mensal"}
+
+
+def land(spark: SparkSession, root: str, contract: list[str], table: str, done: set[str] = frozenset()) -> tuple[list[str], list[tuple[str, str]]]:
+    """One run of the landing driver: (load keys written, files refused).
+
+    Weekly files lie in the root, monthly ones anywhere below ``mensal``. A file's load key is its name and its date in the name or, without one,
+    of its last change (``name#ref=yyyy-MM-dd``); keys in ``done`` are skipped. A key's rows replace what was loaded under it before: the table is
+    partitioned by it and only those partitions are written."""
+    found = [f for shape in SHAPES.values() if list_exists(spark, f"{root}/{shape}") for f in list_files(spark, f"{root}/{shape}", ".csv")]
+    keys: dict[str, str] = {}
+    for path, changed in found:
+        name = path.rpartition("/")[2]
+        m = re.search(r"(\d{4})-?(\d{2})-?(\d{2})", name)
+        day = "-".join(m.groups()) if m else datetime.fromtimestamp(changed / 1000, timezone.utc).date().isoformat()
+        if (key := f"{name}#ref={day}") not in done:
+            keys[path] = key
+    rows, refused = land_csv(spark, list(keys), contract)
+    bad = {p for p, _ in refused}
+    loaded = {p.rpartition("/")[2]: k for p, k in keys.items() if p not in bad}
+    if rows is not None:
+        names = spark.createDataFrame(sorted(loaded.items()), "arquivo string, load_key string")
+        replace_partitions(rows.join(names, "arquivo"), table, ["load_key"])
+    return sorted(loaded.values()), refused
+
+
+def list_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at))
 
 
 def repair(row: list[str], width: int) -> list[str]:

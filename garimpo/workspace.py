@@ -6,9 +6,11 @@ Everything an operator has to keep between jobs is a Parquet table below the fol
 
 from __future__ import annotations
 
+import hashlib
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,37 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def load_of(df: DataFrame) -> str:
+    """What a table was read from: its files with sizes and times. Another load has another name."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for name in sorted(df.inputFiles()):
+        at = jvm.org.apache.hadoop.fs.Path(name)
+        status = at.getFileSystem(conf).getFileStatus(at)
+        seen.append((name, status.getLen(), status.getModificationTime()))
+    return hashlib.sha256(json.dumps(seen).encode()).hexdigest()
+
+
+def once_a_load(source: DataFrame, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()``, written once for each load of ``source`` and session, and read by whoever asks again."""
+    spark = source.sparkSession
+    key = (spark.sparkContext.applicationId, shared_dir(spark), name, load_of(source))
+    at = _WRITTEN.get(key)
+    if at is not None:
+        jvm = spark.sparkContext._jvm
+        done = jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")
+        if done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+            return spark.read.parquet(at)
+    df, at = build(), fresh(spark, name)
+    df.write.parquet(at)
+    _WRITTEN[key] = at
+    return spark.read.schema(df.schema).parquet(at)
+
+
 def clear(spark: SparkSession) -> None:
     """Remove everything written with ``fresh`` or ``cut``; call it when no result that reads from there is needed any more."""
     jvm = spark.sparkContext._jvm

@@ -2,6 +2,7 @@
 
 import datetime
 import io
+import random
 import zipfile
 
 import pytest
@@ -29,6 +30,23 @@ def test_keyed_upsert_and_target(spark):
     assert rows(t.read()) == [(1, "a"), (2, "B"), (3, "c"), (None, "N")] and t.up_to_date(v=2) and not t.up_to_date(v=1)
 
 
+def test_target_rewrites_little(spark):
+    """Twenty-four loads: the last ones write as much as the first ones, and the table is what full rewrites give."""
+    rng = random.Random(2)
+    t, want, written, tiers = upsert.Target(spark, fresh(spark, "tiers")), {}, [], []
+    for load in range(24):
+        delta = {k: load for k in rng.sample(range(4000), 60)}
+        want |= delta
+        t.upsert(spark.createDataFrame([*delta.items()], "k int, v int").coalesce(1), ["k"])
+        now = t.versions.current()
+        tiers.append(len(now["rows"]))
+        written.append(now["rows"][-1])
+    assert {r.k: r.v for r in t.read().collect()} == want and t.read().count() == len(want)
+    assert max(tiers) <= 6 and sum(written) < 24 * 60 * 6
+    with pytest.raises(ValueError):
+        t.upsert(spark.createDataFrame([(1, 1)], "k int, v int"), ["v"])
+
+
 def test_classify_and_guard(spark):
     stored = spark.createDataFrame([(1, "a", 1), (2, None, 1), (3, "c", 1), (4, "d", 1)], "k int, v string, s int")
     wanted = spark.createDataFrame([(1, "a", 2), (2, "", 1), (3, "c", 1), (5, "e", 1)], "k int, v string, s int")
@@ -101,6 +119,35 @@ def test_contract_csv(spark, tmp_path):
         files.read_contract_csv(spark, str(tmp_path / "a.csv"), ["falta"])
 
 
+def test_unlike_headers_in_one_folder(spark, tmp_path):
+    write = lambda n, text: (tmp_path / n).write_text(text, encoding="utf-8")
+    write("a.csv", "estado;valor\nSP;6,2\n")
+    write("b.csv", 'valor;"Estado"\n7,1;RJ\n"a;b";MG\n')
+    write("c.csv", "valor;outra\n1;2\n")
+    write("d.csv", "x;estado;y;valor\n0;BA;0;9\n")
+    write("e.csv", "")
+    write("f.csv", "estado;valor;valor\n1;2;3\n")
+    df, refused = files.land_csv(spark, [p for p, _ in files.list_files(spark, str(tmp_path))], ["estado", "valor"])
+    assert rows(df.select("arquivo", "estado", "valor")) == [("a.csv", "SP", "6,2"), ("b.csv", "MG", "a;b"), ("b.csv", "RJ", "7,1"), ("d.csv", "BA", "9")]
+    assert [(p.rpartition("/")[2], why) for p, why in refused] == [("c.csv", "falta estado"), ("e.csv", "falta estado; falta valor"), ("f.csv", "repete valor")]
+    assert files.land_csv(spark, [], ["a"]) == (None, [])
+    with pytest.raises(files.ContractError):
+        files.read_contract_csv(spark, str(tmp_path), ["estado", "valor"])
+
+
+def test_landing_by_load_key(spark, tmp_path):
+    (tmp_path / "mensal" / "2026").mkdir(parents=True)
+    (tmp_path / "semana-2026-01-04.csv").write_text("a;b\n1;x\n2;y\n")
+    (tmp_path / "mensal" / "2026" / "jan-20260131.csv").write_text("b;a\nz;3\n")
+    (tmp_path / "mensal" / "ruim.csv").write_text("a\n9\n")
+    table = fresh(spark, "landed")
+    keys, refused = files.land(spark, str(tmp_path), ["a", "b"], table)
+    assert keys == ["jan-20260131.csv#ref=2026-01-31", "semana-2026-01-04.csv#ref=2026-01-04"] and [why for _, why in refused] == ["falta b"]
+    (tmp_path / "semana-2026-01-04.csv").write_text("a;b\n5;w\n")
+    assert files.land(spark, str(tmp_path), ["a", "b"], table, {keys[0]})[0] == keys[1:]
+    assert rows(spark.read.parquet(table).select("a", "b", "load_key")) == [("3", "z", keys[0]), ("5", "w", keys[1])]
+
+
 def test_replace_partitions(spark):
     at = fresh(spark, "p")
     df = spark.createDataFrame([(1, 10), (2, 20)], "m int, v int")
