@@ -6,7 +6,7 @@ shard's seen identifiers are bits in blocks of 32,768 (Spark's bitmap functions;
 1. one winner per identifier: a partial aggregate on the map side, so that an identifier with a third of all rows costs one
    row per map task, then one shuffle of narrow rows;
 2. winners get their codes from the dictionary, new identifiers new codes;
-3. a winner whose bit is unset is selected; the new bits are or-ed into the old blocks;
+3. a winner whose bit is unset is selected; the blocks with new bits are written, to be or-ed with the old ones;
 4. dictionary, bitmaps and kept rows become visible together (one pointer swap).
 
 Policies: ``first`` keeps what an earlier batch kept and refuses later copies (a stream). Inside a batch the row with the
@@ -27,6 +27,8 @@ from garimpo.workspace import Versions, cut, fresh
 
 #: Bits in a block of Spark's bitmap functions (fixed there).
 BLOCK_BITS = 32768
+#: parts of the bitmaps that are read side by side before they become one
+MERGE = 8
 
 
 def _bit(bitmap, position):
@@ -47,8 +49,11 @@ class SeenState:
         return self.spark.createDataFrame([], "id string, shard int, code bigint") if t is None else t.select("id", "shard", "code")
 
     def bitmaps(self) -> DataFrame:
-        t = self.versions.table("bitmaps")
-        return self.spark.createDataFrame([], "shard int, block bigint, bits binary") if t is None else t
+        parts = self.versions.current()["tables"].get("bitmaps", [])
+        if not parts:
+            return self.spark.createDataFrame([], "shard int, block bigint, bits binary")
+        t = self.spark.read.parquet(*parts)
+        return t if len(parts) == 1 else t.groupBy("shard", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
 
     def admit(self, rows: DataFrame, identifier: str, order: list[str]) -> DataFrame:
         """rows: the batch. Returns the kept rows (identifier and order columns) after publishing the new state."""
@@ -78,11 +83,12 @@ class SeenState:
         else:
             selected = numbered
         fresh_bits = selected.groupBy("shard", F.bitmap_bucket_number(F.col("code") + 1).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("code") + 1)).alias("bits"))
-        if old["tables"].get("bitmaps"):
-            fresh_bits = fresh_bits.unionByName(self.bitmaps()).groupBy("shard", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
-        bits_at = self.versions.stage("bitmaps", number)
+        # a batch writes the blocks with new bits only; a reader ors the parts, and they become one when there are many
+        parts, bits_at = old["tables"].get("bitmaps", []), self.versions.stage("bitmaps", number)
+        if len(parts) >= MERGE:
+            fresh_bits, parts = fresh_bits.unionByName(self.bitmaps()).groupBy("shard", "block").agg(F.bitmap_or_agg("bits").alias("bits")), []
         fresh_bits.write.parquet(bits_at)
-        tables["bitmaps"] = bits_at
+        tables["bitmaps"] = [*parts, bits_at]
         self.versions.publish(tables, shards=self.shards)
         return selected.select(F.col("id").alias(identifier), "o.*", "copies")
 

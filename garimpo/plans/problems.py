@@ -139,14 +139,14 @@ def _by_load(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def orphan_state(spark: SparkSession, d: str) -> orphans.OrphanState:
+def orphan_state(spark: SparkSession, d: str, snapshots: bool = False) -> orphans.OrphanState:
     """All loads, replayed in the order of their months (a list as long as the history has months)."""
     state = orphans.OrphanState(spark)
     parents, references = _by_load(_parents(spark, d), "parents"), _by_load(_references(spark, d), "references")
     months = sorted({r[0] for t in (parents, references) for r in t.select("carga").distinct().collect()}, key=lambda m: (m is not None, m or 0))
     for month in months:
         same = F.col("carga").eqNullSafe(F.lit(month))
-        state.apply(parents.filter(same).drop("carga"), references.filter(same).drop("carga"))
+        state.apply(parents.filter(same).drop("carga"), references.filter(same).drop("carga"), load=str(month) if snapshots else None)
     return state
 
 
@@ -158,6 +158,11 @@ def p2_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return orphan_state(spark, d).snapshot().withColumnRenamed("periodo", "referencia_mes")
 
 
+def p2_history(spark: SparkSession, d: str) -> DataFrame:
+    """The same counts after each load."""
+    return orphan_state(spark, d, snapshots=True).snapshots().withColumnRenamed("periodo", "referencia_mes").withColumn("carga", F.col("carga").cast("int"))
+
+
 # --- 3: messages delivered more than once ------------------------------------------------------------------------------
 
 
@@ -227,10 +232,18 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_reasons(spark, d).select("tabela", "linha_id")
 
 
+def p6_displaced(spark: SparkSession, d: str) -> DataFrame:
+    """The load's flag of displaced rows against the reader's verdict, by month: what it caught, missed and accused wrongly."""
+    rows = table(spark, d, "rfb_empresas").select("linha_id", "referencia_mes", F.coalesce("_suspeita_deslocamento", F.lit(False)).alias("s"))
+    refused = rejects.reject_fields(table(spark, d, "rfb_empresas"), ["linha_id"], rejects.EMPRESAS_FIELDS).select("linha_id", F.lit(True).alias("r"))
+    both = rows.join(refused, "linha_id", "left").withColumn("r", F.coalesce("r", F.lit(False)))
+    return both.groupBy("referencia_mes").agg(F.count_if(F.col("s") & F.col("r")).alias("apanhadas"), F.count_if(~F.col("s") & F.col("r")).alias("perdidas"), F.count_if(F.col("s") & ~F.col("r")).alias("acusadas"), F.count(F.lit(1)).alias("linhas"))
+
+
 def p6_loaded(spark: SparkSession, d: str) -> DataFrame:
     """The lines that load, typed."""
     ok = rejects.read_lines(table(spark, d, "anp_csv_bruto"), ["linha_id"], "linha").filter(F.col("motivo").isNull())
     return ok.select("linha_id", cnpj14(F.col("cnpj_da_revenda")).alias("cnpj"), strip(F.col("produto")).alias("produto"), date_br(F.col("data_da_coleta")).alias("dia"), price(F.col("valor_de_venda")).alias("valor"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_objects, p1_store, p1_links, p1_reuse, p1_fields, *P1_TABLES, p1_rejects, p2_found, p2_snapshot, p3_found, p3_kept, p4_found, p4_flags, p6_found, p6_reasons, p6_loaded)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_objects, p1_store, p1_links, p1_reuse, p1_fields, *P1_TABLES, p1_rejects, p2_found, p2_snapshot, p2_history, p3_found, p3_kept, p4_found, p4_flags, p6_found, p6_reasons, p6_displaced, p6_loaded)}

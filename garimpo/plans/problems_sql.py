@@ -78,6 +78,16 @@ ORPHANS = " union all ".join(
 ORACLES["p2_found"] = f"select tabela, campo, referencia_mes, linha_id from ({ORPHANS})"
 ORACLES["p2_snapshot"] = f"select tabela, campo, referencia_mes, count(*) as orfaos, count(distinct chave) as chaves from ({ORPHANS}) group by 1, 2, 3"
 
+# a row is an orphan after each load from its own on, until the first load that lists its key
+_LOAD = "cast(strftime(_inserted_at, '%Y%m') as int)"
+_FIRST = f"(select dominio, m, k, min(c) as c from (select 'empresas' as dominio, referencia_mes as m, {_number('cnpj_basico')} as k, {_LOAD} as c from rfb_empresas where {EMPRESAS_OK} union all select dominio, referencia_mes, {_number('codigo')}, {_LOAD} from rfb_dominios) where k is not null group by 1, 2, 3)"
+_ASKED = " union all ".join(f"select '{t}' as tabela, '{c}' as campo, referencia_mes, '{p}' as dominio, {_number(c)} as chave, {_LOAD} as c from {t} where {_number(c)} is not null{' and ' + EMPRESAS_OK if t == 'rfb_empresas' else ''}" for t, fields in REFERENCES.items() for c, p in fields.items())
+_LOADS = " union ".join(f"select {_LOAD} as carga from {t}" for t in ("rfb_empresas", "rfb_dominios", "rfb_estabelecimentos", "rfb_socios"))
+ORACLES["p2_history"] = (
+    f"select carga, tabela, campo, referencia_mes, count(*) as orfaos, count(distinct chave) as chaves from (select a.*, f.c as chegou from ({_ASKED}) a left join {_FIRST} f on f.dominio = a.dominio and f.k = a.chave and f.m is not distinct from a.referencia_mes) r join ({_LOADS}) l on l.carga >= r.c "
+    "where r.chegou is null or r.chegou > l.carga group by 1, 2, 3, 4"
+)
+
 _MESSAGES = "(select lote_id, arquivo, regexp_extract(conteudo, 'Id=\"NFe([0-9]{44})\"', 1) as chave, row_number() over (partition by regexp_extract(conteudo, 'Id=\"NFe([0-9]{44})\"', 1) order by carregado_em desc, lote_id desc, arquivo desc) as rn from nfe_xml)"
 ORACLES["p3_found"] = f"select lote_id, arquivo from {_MESSAGES} where rn > 1"
 ORACLES["p3_kept"] = f"select chave, lote_id, arquivo from {_MESSAGES} where rn = 1"
@@ -104,6 +114,7 @@ ORACLES["p6_found"] = (
     f"select 'anp_landing_semanal' as tabela, linha_id from anp_landing_semanal where not ({_price_ok('valor_de_venda')} and {_date_ok('data_da_coleta')}) "
     f"union all select 'rfb_empresas', linha_id from rfb_empresas where not ({EMPRESAS_OK}) union all select 'anp_csv_bruto', linha_id from {_LINES} where not ({_LINE_OK})"
 )
+ORACLES["p6_displaced"] = f"select referencia_mes, count(*) filter (where s and r) as apanhadas, count(*) filter (where not s and r) as perdidas, count(*) filter (where s and not r) as acusadas, count(*) as linhas from (select referencia_mes, coalesce(_suspeita_deslocamento, false) as s, not ({EMPRESAS_OK}) as r from rfb_empresas) group by 1"
 ORACLES["p6_loaded"] = (
     f"select linha_id, case when length(regexp_replace({_text(4)}, '[^0-9]', '', 'g')) = 14 then regexp_replace({_text(4)}, '[^0-9]', '', 'g') end as cnpj, {_text(10)} as produto, cast(strptime({_text(11)}, '%d/%m/%Y') as date) as dia, "
     f"try_cast(replace({_text(12)}, ',', '.') as double) as valor from {_LINES} where {_LINE_OK}"

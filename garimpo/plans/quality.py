@@ -169,19 +169,6 @@ def reconciled(t):
     return rows.select(F.when(F.abs(F.col("a") - F.col("b")) / F.greatest(F.abs("a"), F.lit(1)) * 100 <= 2, "pass").otherwise("fail").alias("situacao"))
 
 
-@query("d20_check_runner", "select * from (values ('volume', 'pass'), ('vazios', 'warn'), ('sem tabela', 'skipped'), ('suspenso', 'skipped'), ('depende', 'skipped')) v(checagem, status)")
-def runner(t):
-    lots = t.nfe_lote
-    checks = [
-        q.Check("volume", lambda s: (lots.count(),), lambda v: q.threshold(v, low=1)),
-        q.Check("vazios", lambda s: (lots.filter("qtd_arquivos is not null").count(),), lambda v: q.threshold(v, high=0), severity="warn"),
-        q.Check("sem tabela", lambda s: (s.table("nao_existe").count(),), q.threshold),
-        q.Check("suspenso", lambda s: (1,), q.threshold, suspended=True),
-        q.Check("depende", lambda s: (1,), q.threshold, requires="vazios"),
-    ]
-    return t.spark.createDataFrame([(r["check"], r["status"]) for r in q.run_checks(t.spark, checks)], "checagem string, status string")
-
-
 @query(
     "d21_contiguous_sequence",
     "select l_orderkey, l_linenumber from (select *, lag(l_linenumber) over (partition by l_orderkey order by l_linenumber, l_partkey) as p from lineitem) where l_linenumber <> coalesce(p, 0) + 1",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from garimpo.plans import catalog, extras, io, problems, problems_sql, quality, relational, scalars, serving, streams, texts, warehouse  # noqa: F401
+from garimpo.plans import catalog, extras, health, io, problems, problems_sql, quality, relational, scalars, serving, streams, texts, warehouse  # noqa: F401
 
 
 def queries() -> dict:

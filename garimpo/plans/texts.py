@@ -117,9 +117,11 @@ def listed(t):
     return asked(t, "quais os postos que vendem gnv")
 
 
-@query("r06_detail", f"with {CURRENT_SQL} select cnpj, produto, valor_venda, data_coleta from atual where cnpj = '62379422000103' order by data_coleta desc, produto, cnpj limit 10")
+@query("r06_detail", f"with {CURRENT_SQL} select cnpj, produto, valor_venda, data_coleta from atual where cnpj = (select max(cnpj) from atual where length(cnpj) = 14) order by data_coleta desc, produto, cnpj limit 10")
 def detail(t):
-    return asked(t, "precos do posto 62.379.422/0001-03")
+    """The station with the greatest number, asked for as it is printed."""
+    c = current(t).filter(F.length("cnpj") == 14).agg(F.max("cnpj")).first()[0] or "0" * 14
+    return asked(t, f"precos do posto {c[:2]}.{c[2:5]}.{c[5:8]}/{c[8:12]}-{c[12:]}")
 
 
 @query(

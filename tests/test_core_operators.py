@@ -191,6 +191,21 @@ def test_control_chart_of_a_crowded_source(spark):
     assert got == bad | {-3, -30} | {-40 - k for k in range(5)}
 
 
+def test_orphans_touch_their_own_periods(spark):
+    """Ten months: a load opens the folders of its own periods, and a period's index is merged."""
+    state = orphans.OrphanState(spark)
+    for m in range(1, 11):
+        ref = refs(spark, [("t", "f", m, m * 10 + k, "p", c) for k, c in enumerate("abz")] + [("t", "f", 1, m * 1000, "p", "late")])
+        state.apply(parents(spark, [("p", m, "a"), ("p", m, "b"), ("p", 1, f"x{m}")]), ref, load=str(m))
+        tables = state.versions.current()["tables"]
+        assert sum(1 in valid for _, valid in tables["index"]) <= orphans.MERGE and sum(1 in valid for _, valid in tables["pending"]) == 1
+        assert all(tables["pending"][-1][1] == sorted({1, m}, key=str) for _ in (0,))
+    assert sorted(r.linha_id for r in state.pending().collect()) == sorted([m * 10 + 2 for m in range(1, 11)] + [m * 1000 for m in range(1, 11)])
+    assert {(r.carga, r.orfaos) for r in state.snapshots().filter("periodo = 1").collect()} == {(str(m), m + 1) for m in range(1, 11)}
+    assert state.index().filter("periodo = 1").groupBy("chave").count().count() == 12
+    assert orphans.OrphanState(spark).snapshots().count() == 0 and orphans.OrphanState(spark).snapshot().count() == 0
+
+
 GOOD = "S;SP;X;R;1;A;1;;B;8;ETANOL;04/07/2025;5,52;;R$;RU"
 LINES = {
     GOOD: None,

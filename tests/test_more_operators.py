@@ -95,8 +95,14 @@ def test_check_runner(spark):
         raise RuntimeError("x")
 
     checks = [quality.Check("e", boom, quality.threshold), quality.Check("lento", lambda s: (s.range(1).select(F.expr("java_method('java.lang.Thread', 'sleep', 1L)")).count(),), quality.threshold, heavy=True)]
+    checks += [
+        quality.Check("sem tabela", lambda s: (s.table("nao_existe").count(),), quality.threshold),
+        quality.Check("suspenso", lambda s: (1,), quality.threshold, suspended=True),
+        quality.Check("aviso", lambda s: (9,), lambda v: quality.threshold(v, high=0), severity="warn"),
+        quality.Check("depende", lambda s: (1,), quality.threshold, requires="aviso"),
+    ]
     got = {r["check"]: r["status"] for r in quality.run_checks(spark, checks, with_heavy=False)}
-    assert got == {"e": "error", "lento": "skipped"}
+    assert got == {"e": "error", "lento": "skipped", "sem tabela": "skipped", "suspenso": "skipped", "aviso": "warn", "depende": "skipped"}
 
 
 def test_zip_source(spark, tmp_path):
