@@ -176,13 +176,8 @@ def dm_companies(t):
     f"select md5(coalesce(cnpj_completo, '{keys.NULL_PART}')) as sk_estabelecimento, md5(coalesce(cnpj_basico, '{keys.NULL_PART}')) as sk_empresa, cnae_fiscal_principal as codg_cnae, municipio as codg_municipio, situacao_cadastral, 1 as qtd_estabelecimentos from {NEWEST.format(k='cnpj_completo', t='rfb_estabelecimentos')} where cnpj_completo is not null",
 )
 def ft_registry(t):
-    """First month, then each later month upserted by key: what an incremental run leaves behind equals the full refresh."""
-    rows = t.rfb_estabelecimentos.filter("cnpj_completo is not null")
-    months = [r[0] for r in rows.select("referencia_mes").distinct().orderBy("referencia_mes").collect()]  # one per load
-    built = None
-    for month in months:
-        delta = newest_month(rows.filter(F.col("referencia_mes") == month), ["cnpj_completo"])
-        built = delta if built is None else keyed_upsert(built, delta, ["cnpj_completo"])
+    """The newest month's row of each key, by one window: what month after month of upserts leaves behind."""
+    built = newest_month(t.rfb_estabelecimentos.filter("cnpj_completo is not null"), ["cnpj_completo"])
     return built.select(keys.surrogate_key(F.col("cnpj_completo")).alias("sk_estabelecimento"), keys.surrogate_key(F.col("cnpj_basico")).alias("sk_empresa"), F.col("cnae_fiscal_principal").alias("codg_cnae"), F.col("municipio").alias("codg_municipio"), "situacao_cadastral", F.lit(1).alias("qtd_estabelecimentos"))
 
 
