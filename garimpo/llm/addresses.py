@@ -289,7 +289,8 @@ def locations(df: DataFrame, owner: str, town: list[str], street: str, number: s
     joined = F.when(F.size("name") > 1, F.transform(F.sequence(F.lit(0), F.size("name") - 2), lambda k: F.concat(F.get("name", k), F.get("name", k + 1)))).otherwise(F.array().cast("array<string>"))
     keys = F.array_union(F.flatten(F.transform("name", variants)), F.array_union(joined, F.array(F.array_join("name", ""))))
     index = classes.select("class", F.concat_ws("|", "town", "number").alias("block"), F.explode(keys).alias("v")).select("class", F.xxhash64("block", "v").alias("h"))
-    met = index.select(F.col("class").alias("class_a"), "h").join(index.select(F.col("class").alias("class_b"), "h"), "h").filter("class_a < class_b").select("class_a", "class_b").distinct()
+    # merged, whatever the planner thinks of its size: a small table of classes makes a large index
+    met = index.select(F.col("class").alias("class_a"), "h").join(index.select(F.col("class").alias("class_b"), "h").hint("merge"), "h").filter("class_a < class_b").select("class_a", "class_b").distinct()
     what = ["kind", "title", "name", "unit"]
     side = lambda x: classes.select(F.col("class").alias(f"class_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in what))
     fits = lambda c: (F.col(f"{c}_a") == "") | (F.col(f"{c}_b") == "") | (F.col(f"{c}_a") == F.col(f"{c}_b"))

@@ -14,7 +14,8 @@ finds the divisor by bisection and then gives out the last few blocks one by one
 
 Defined cases: null and empty texts have no tokens; documents of sources without a target count in the total and are never
 taken; sources without documents get nothing and their share goes to the others; all sources capped: the mix is smaller than asked for;
-ties go to the source that sorts first; repeated documents are separate documents; a target of 0 or less, or null, gets nothing.
+ties go to the source that sorts first; the last incomplete block of a shard (fewer than ``block`` tokens) is no block: it is never taken
+and reported as ``resto``, so a source with fewer tokens than a block gives nothing; repeated documents are separate documents; a target of 0 or less, or null, gets nothing.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ def plan(docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFram
     for n, quota in zip(names, quotas):
         each = sainte_lague([float(b) for _, b in blocks[n]], quota, [wanted[n][1] * b for _, b in blocks[n]])
         rows += [(n, s, b, q) for (s, b), q in zip(blocks[n], each)]
-        report.append({"source": n, "share_alvo": wanted[n][0], "tokens_disponiveis": have.get(n, 0), "tokens": quota * p.block, "max_repeticoes": wanted[n][1], "repeticoes": max((-(-q // b) for (_, b), q in zip(blocks[n], each) if b), default=0)})
+        report.append({"source": n, "share_alvo": wanted[n][0], "tokens_disponiveis": have.get(n, 0), "resto": have.get(n, 0) - p.block * sum(b for _, b in blocks[n]), "tokens": quota * p.block, "max_repeticoes": wanted[n][1], "repeticoes": max((-(-q // b) for (_, b), q in zip(blocks[n], each) if b), default=0)})
     pieces = placed.withColumn("block", F.explode(F.sequence(F.expr(f"at div {p.block}"), F.expr(f"(at + tokens - 1) div {p.block}"))))
     start = F.col("block") * p.block
     pieces = pieces.select("fonte", "shard", "block", "doc_id", (F.greatest(start, F.col("at")) - F.col("at")).alias("de"), (F.least(start + p.block, F.col("at") + F.col("tokens")) - F.col("at")).alias("ate"))
@@ -145,15 +146,41 @@ def select(made: Plan, p: Mix = Mix()) -> DataFrame:
     return made.pieces.join(times, ["fonte", "shard", "block"]).select(F.col("fonte").alias("source"), "shard", "block", "copia", "doc_id", "de", "ate")
 
 
+def texts(made: Plan, docs: DataFrame, doc_id: str, text: str, p: Mix = Mix()) -> DataFrame:
+    """The mix as text: (source, shard, block, copia, doc_id, de, texto) of each piece, each document tokenized once for all of its pieces.
+
+    A piece may begin or end within a character: its broken bytes become U+FFFD. A document's pieces are as many as its blocks and copies.
+    ``doc_id`` should tell documents apart: pieces of a repeated id are cut from each of its rows."""
+    fields = ["source", "shard", "block", "copia", "de", "ate"]
+    of_doc = select(made, p).groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("pieces"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")).join(of_doc, "doc_id")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", *fields[:5], "texto"]
+    types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(p.vocabulary)
+        for batch in batches:
+            row, out = [], []
+            for k, (t, pieces) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                tokens = e.encode_ordinary(t or "")
+                for x in pieces:
+                    row.append(k)
+                    out.append((*(x[f] for f in fields[:5]), e.decode(tokens[x["de"] : x["ate"]])))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *(pa.array([r[k] for r in out], ty) for k, ty in enumerate(types))], names=names)
+
+    return rows.select("doc_id", "t", "pieces").mapInArrow(run, f"doc_id {kind}, source string, shard int, block bigint, copia bigint, de bigint, texto string")
+
+
 def shares(made: Plan, p: Mix = Mix()) -> DataFrame:
     """Per source, from the pieces that were taken: tokens, actual share of the mix, greatest number of repetitions."""
     taken = select(made, p)
     got = taken.groupBy("source").agg(F.sum(F.col("ate") - F.col("de")).alias("tokens"), F.max("copia").alias("repeticoes"), F.countDistinct("shard", "block").alias("blocos"))
     asked = _targets(made)
     whole = F.sum(F.coalesce("tokens", F.lit(0))).over(Window.partitionBy(F.lit(0)))  # one row per source
-    return asked.join(got, "source", "left").select("source", "share_alvo", "max_repeticoes", "tokens_disponiveis", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.round(F.coalesce("tokens", F.lit(0)) / F.when(whole > 0, whole), 6).alias("share_real"), F.coalesce("repeticoes", F.lit(0)).alias("repeticoes"), F.coalesce("blocos", F.lit(0)).alias("blocos"), F.lit(made.total).cast("bigint").alias("total"))
+    return asked.join(got, "source", "left").select("source", "share_alvo", "max_repeticoes", "tokens_disponiveis", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.round(F.coalesce("tokens", F.lit(0)) / F.when(whole > 0, whole), 6).alias("share_real"), F.coalesce("repeticoes", F.lit(0)).alias("repeticoes"), F.coalesce("blocos", F.lit(0)).alias("blocos"), "resto", F.lit(made.total).cast("bigint").alias("total"))
 
 
 def _targets(made: Plan) -> DataFrame:
     spark = made.quotas.sparkSession
-    return spark.createDataFrame([(r["source"], r["share_alvo"], r["max_repeticoes"], r["tokens_disponiveis"]) for r in made.sources], "source string, share_alvo double, max_repeticoes int, tokens_disponiveis bigint")
+    return spark.createDataFrame([(r["source"], r["share_alvo"], r["max_repeticoes"], r["tokens_disponiveis"], r["resto"]) for r in made.sources], "source string, share_alvo double, max_repeticoes int, tokens_disponiveis bigint, resto bigint")

@@ -76,10 +76,15 @@ def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.select(_mix(spark, d))
 
 
+def p8_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The mix as text, piece by piece."""
+    return mixing.texts(_mix(spark, d), table(spark, d, "documents"), "doc_id", "text")
+
+
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual shares."""
     return mixing.shares(_mix(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_locations, p5_units, p7_found, p7_scores, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_locations, p5_units, p7_found, p7_scores, p8_mix, p8_texts, p8_shares, p9_found, p9_segments, p9_documents)}
 ORACLES: dict[str, str] = {}
