@@ -285,6 +285,18 @@ def objects(stored: DataFrame) -> DataFrame:
     return stored.filter(F.col("canonico").isNotNull()).groupBy("objeto").agg(F.max("nome").alias("nome"), F.max("canonico").alias("canonico"))
 
 
+def _maps(rows: list[list[tuple[str, str]] | None]) -> pa.Array:
+    """A map array from lists of pairs, built from flat columns."""
+    if not any(rows):
+        return pa.array([None if r is None else [] for r in rows], pa.map_(pa.string(), pa.string()))
+    offsets, at = [], 0
+    for r in rows:
+        offsets.append(None if r is None else at)
+        at += len(r) if r else 0
+    pairs = [x for r in rows if r for x in r]
+    return pa.MapArray.from_arrays(pa.array([*offsets, at], pa.int32()), pa.array([k for k, _ in pairs], pa.string()), pa.array([v for _, v in pairs], pa.string()))
+
+
 def shred(df: DataFrame, keys: list[str], content: str, layout: Layout = NFE, payload: bool = True, groups: list[str] | None = None) -> DataFrame:
     """Occurrences: keys, grupo, ordem1.., objeto, grupo_pai, objeto_pai, campos, erro.
 
@@ -322,7 +334,7 @@ def shred(df: DataFrame, keys: list[str], content: str, layout: Layout = NFE, pa
             taken = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k).take(taken) for k in range(len(keys))]
-                + [pa.array(group, pa.string()), *(pa.array(o, pa.int32()) for o in ordinals), pa.array(ids, pa.string()), pa.array(parents, pa.string()), pa.array(parent_ids, pa.string()), pa.array(fields, pa.map_(pa.string(), pa.string())), pa.array(errors, pa.string())],
+                + [pa.array(group, pa.string()), *(pa.array(o, pa.int32()) for o in ordinals), pa.array(ids, pa.string()), pa.array(parents, pa.string()), pa.array(parent_ids, pa.string()), _maps(fields), pa.array(errors, pa.string())],
                 names=[*keys, "grupo", *(f"ordem{k + 1}" for k in range(depth)), "objeto", "grupo_pai", "objeto_pai", "campos", "erro"],
             )
 

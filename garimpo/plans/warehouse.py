@@ -237,7 +237,7 @@ def shredded(t) -> DataFrame:
 
 
 def parsed(t) -> DataFrame:
-    return shred.shred(current_invoices(t), ["chave", "lote_id"], "conteudo").filter("grupo in ('infNFe', 'det')")
+    return shred.shred(current_invoices(t), ["chave", "lote_id"], "conteudo", groups=["infNFe", "det"])
 
 
 def headers(t, found: DataFrame | None = None) -> DataFrame:
